@@ -8,17 +8,22 @@ from pyspark.sql import functions as F
 from loticote.functions.text import normalize_text, strip
 
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+ROOM_COUNT = r"^(\d+\.?\d*|\.\d+)$"
+SEVERAL_DOTS = r"^[0-9.]*[0-9][0-9.]*$"
 ROOM_PREFIX = r"^(\d+)\s*chambre"
-DIGITS_AND_DOTS = r"^\.*[0-9][0-9.]*$"
+POSITIVE_ROOM_PREFIX = r"^0*([1-9]\d*)\s*chambre"
 
 # 2**27 + 1 cuts a double into two halves whose products are exact.
 HALF_SPLIT = 134217729.0
 
 
+# Text is matched before it is cast: a failing cast raises and swallows an exception per row. The
+# match also names its column only once, which keeps pushed-down filters cheap.
+
+
 def to_number(col: Column) -> Column:
     """Text to double; anything that is not a plain number becomes NULL, never NaN."""
-    text = strip(col.cast("string"))
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.regexp_substr(strip(col.cast("string")), F.lit(NUMBER)).try_cast("double")
 
 
 def clean_price(col: Column, numeric: bool = False) -> Column:
@@ -31,31 +36,35 @@ def clean_price(col: Column, numeric: bool = False) -> Column:
     if numeric:
         value = F.abs(col.cast("double"))
         return F.when(~F.isnan(value), value)
-    return F.regexp_replace(col, r"[^\d.]", "").try_cast("double")
+    kept = F.regexp_replace(col, r"[^\d.]", "")
+    return F.nullif(kept, F.lit("")).try_cast("double")
+
+
+def _leading_count(col: Column, pattern: str) -> Column:
+    found = F.regexp_extract(normalize_text(col), pattern, 1)
+    return F.nullif(found, F.lit("")).try_cast("int")
 
 
 def rooms_from_type(col: Column) -> Column:
     """Room count written in front of the type (``3 chambres salon`` gives 3)."""
-    return F.regexp_extract(normalize_text(col), ROOM_PREFIX, 1).try_cast("int")
+    return _leading_count(col, ROOM_PREFIX)
 
 
 def parse_rooms(col: Column) -> Column:
     """Room count given as digits and at most one dot, cut to a whole number; NULL otherwise."""
-    text = col.cast("string")
-    return F.when(text.rlike(DIGITS_AND_DOTS), text.try_cast("double")).try_cast("int")
+    return F.regexp_substr(col.cast("string"), F.lit(ROOM_COUNT)).try_cast("double").try_cast("int")
 
 
 def malformed_rooms(col: Column) -> Column:
     """Digits with several dots: the loader refuses the whole listing, not just the count."""
     text = col.cast("string")
-    refused = text.rlike(DIGITS_AND_DOTS) & text.try_cast("double").isNull()
+    refused = text.rlike(SEVERAL_DOTS) & ~text.rlike(ROOM_COUNT)
     return F.coalesce(refused, F.lit(False))
 
 
 def fill_rooms(rooms: Column, type_text: Column) -> Column:
     """The stated room count, or else a positive one found in the type text."""
-    extracted = rooms_from_type(type_text)
-    return F.coalesce(parse_rooms(rooms), F.when(extracted > 0, extracted))
+    return F.coalesce(parse_rooms(rooms), _leading_count(type_text, POSITIVE_ROOM_PREFIX))
 
 
 def round_exact(value: Column, digits: int) -> Column:

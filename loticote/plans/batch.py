@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from loticote.functions import fixed_values as fixed
 from loticote.operators import cleaning, dashboard, index, profiles, quality, star, statistics
@@ -19,11 +18,8 @@ from loticote.operators.quality import REASON, QualityParams
 from loticote.operators.summary import trim_quantile
 from loticote.session import tune
 from loticote.sources import readers, writers
-from loticote.sources.schemas import LISTING
+from loticote.sources.schemas import LISTING, RAW_LISTING
 
-RAW_TEXT = StructType.fromDDL(
-    ", ".join(f"`{name}` STRING" for name in [*fixed.LISTING_COLUMNS, "source"])
-)
 STATS_KEYS = ("id_zone", "zone", "type_bien", "type_offre")
 
 
@@ -49,7 +45,7 @@ def clean(
     read from their own folders instead of running the rules for every output.
     """
     frames = [
-        readers.read_if_present(spark, f"{raw}/{s}.csv", s, RAW_TEXT, multiline) for s in sources
+        readers.read_if_present(spark, f"{raw}/{s}.csv", s, RAW_LISTING, multiline) for s in sources
     ]
     tagged = readers.union_sources([cleaning.tag_listings(f, params) for f in frames])
     writers.write_rejects(tagged, f"{out}/etiquetees")

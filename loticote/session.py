@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 # Adaptive execution sizes the shuffles, turns joins with a side that proves small into broadcast
 # joins and splits the hot partitions of the others. Splitting is forced because it is worth an
 # extra exchange when one key holds a large part of the rows.
+# The JVM does not compile methods above 8000 bytes, so a stage whose generated code is longer would
+# run interpreted; below the limit Spark falls back to smaller generated methods instead.
 SQL_SETTINGS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

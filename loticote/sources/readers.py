@@ -19,12 +19,23 @@ log = logging.getLogger(__name__)
 SOURCE_HEADER = re.compile(r"^source\d*$", re.IGNORECASE)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share a scanned table out when it arrives in fewer partitions than there are cores.
+
+    That happens with a few large files that cannot be split: CSV with quoted line breaks, or
+    Parquet with one row group. A table in many files passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_csv_text(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
     """CSV with a header, every column as text; a folder of part files is read as one table.
 
     Nothing is inferred: inference costs a pass over the files and turns large prices into
-    ``1.2E7``. Quoted line breaks need ``multiline``, which makes one task of each file, so large
-    inputs should come as many files or, when free of line breaks, with ``multiline=False``.
+    ``1.2E7``. An empty field is NULL. Quoted line breaks need ``multiline``, which parses each
+    file in one task, so large inputs should come as many files or, when free of line breaks,
+    with ``multiline=False``, which splits them.
     """
     return (
         spark.read.option("header", True)
@@ -40,7 +51,7 @@ def read_listings(
     spark: SparkSession, path: str | list[str], source: str, multiline: bool = True
 ) -> DataFrame:
     """Raw listings of one source."""
-    raw = read_csv_text(spark, path, multiline)
+    raw = spread(read_csv_text(spark, path, multiline))
     named = raw.drop(*[name for name in raw.columns if SOURCE_HEADER.match(name)])
     return named.withColumn("source", F.lit(source))
 

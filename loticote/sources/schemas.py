@@ -2,64 +2,62 @@
 
 from pyspark.sql import types as T
 
-LISTING = T.StructType(
-    [
-        T.StructField("titre", T.StringType()),
-        T.StructField("type_offre", T.StringType()),
-        T.StructField("type_bien", T.StringType()),
-        T.StructField("zone", T.StringType()),
-        T.StructField("prix", T.DoubleType()),
-        T.StructField("pieces", T.IntegerType()),
-        T.StructField("surface_m2", T.DoubleType()),
-        T.StructField("source", T.StringType()),
-    ]
+from loticote.functions import fixed_values as fixed
+
+
+def schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+TEXT, WHOLE, KEY, REAL, DAY = (
+    T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.DateType(),
+)
+RATE, INDEX, AMOUNT = T.DecimalType(10, 2), T.DecimalType(10, 4), T.DecimalType(15, 2)
+
+# Raw listing as scraped, under its own header; every column is text.
+RAW_LISTING = schema(**{name: TEXT for name in [*fixed.LISTING_COLUMNS, "source"]})
+
+LISTING = schema(
+    titre=TEXT, type_offre=TEXT, type_bien=TEXT, zone=TEXT, prix=REAL, pieces=WHOLE,
+    surface_m2=REAL, source=TEXT,
 )
-REJECT = T.StructType([*LISTING.fields, T.StructField("raison_rejet", T.StringType())])
-OFFICIAL = T.StructType(
-    [
-        T.StructField("prefecture", T.StringType()),
-        T.StructField("zone_admin", T.StringType()),
-        T.StructField("zone", T.StringType()),
-        T.StructField("prix", T.DoubleType()),
-        T.StructField("surface_m2", T.DoubleType()),
-        T.StructField("prix_m2_officiel", T.DoubleType()),
-        T.StructField("source", T.StringType()),
-    ]
+OFFICIAL = schema(
+    prefecture=TEXT, zone_admin=TEXT, zone=TEXT, prix=REAL, surface_m2=REAL,
+    prix_m2_officiel=REAL, source=TEXT,
 )
 
 # Star schema. Keys of the two dimensions are 64-bit hashes of the name; a listing and its
 # property share the 128-bit hash of the listing's identity, because 64 bits would collide at
 # the number of listings this is meant for.
 STAR = {
-    "source_donnees": T.StructType.fromDDL(
-        "id BIGINT, nom STRING, url STRING, date_collecte DATE, nombre_annonces INT"
+    "source_donnees": schema(
+        id=KEY, nom=TEXT, url=TEXT, date_collecte=DAY, nombre_annonces=WHOLE
     ),
-    "zone_geographique": T.StructType.fromDDL(
-        "id BIGINT, nom STRING, commune STRING, prefecture STRING, zone_admin STRING"
+    "zone_geographique": schema(
+        id=KEY, nom=TEXT, commune=TEXT, prefecture=TEXT, zone_admin=TEXT
     ),
-    "bien_immobilier": T.StructType.fromDDL(
-        "id STRING, type_bien STRING, type_offre STRING, surface_m2 DECIMAL(10,2), pieces INT, "
-        "usage STRING, id_zone BIGINT"
+    "bien_immobilier": schema(
+        id=TEXT, type_bien=TEXT, type_offre=TEXT, surface_m2=RATE, pieces=WHOLE, usage=TEXT,
+        id_zone=KEY,
     ),
-    "annonce": T.StructType.fromDDL(
-        "id STRING, titre STRING, prix DECIMAL(15,2), prix_m2 DECIMAL(10,2), date_annonce DATE, "
-        "id_bien STRING, id_source BIGINT"
+    "annonce": schema(
+        id=TEXT, titre=TEXT, prix=AMOUNT, prix_m2=RATE, date_annonce=DAY, id_bien=TEXT,
+        id_source=KEY,
     ),
-    "statistiques_zone": T.StructType.fromDDL(
-        "id_zone BIGINT, type_bien STRING, type_offre STRING, periode STRING, "
-        "prix_moyen_m2 DECIMAL(10,2), prix_median_m2 DECIMAL(10,2), prix_min DECIMAL(15,2), "
-        "prix_max DECIMAL(15,2), nombre_annonces INT, ecart_valeur_venale DECIMAL(10,2)"
+    "statistiques_zone": schema(
+        id_zone=KEY, type_bien=TEXT, type_offre=TEXT, periode=TEXT, prix_moyen_m2=RATE,
+        prix_median_m2=RATE, prix_min=AMOUNT, prix_max=AMOUNT, nombre_annonces=WHOLE,
+        ecart_valeur_venale=RATE,
     ),
-    "indice_immobilier": T.StructType.fromDDL(
-        "id_zone BIGINT, type_bien STRING, periode STRING, prix_moyen_m2 DECIMAL(10,2), "
-        "indice_valeur DECIMAL(10,4), tendance STRING"
+    "indice_immobilier": schema(
+        id_zone=KEY, type_bien=TEXT, periode=TEXT, prix_moyen_m2=RATE, indice_valeur=INDEX,
+        tendance=TEXT,
     ),
-    "valeur_venale": T.StructType.fromDDL(
-        "id_zone BIGINT, prix_m2_officiel DECIMAL(10,2), surface_m2 DECIMAL(10,2), "
-        "valeur_totale DECIMAL(15,2)"
+    "valeur_venale": schema(
+        id_zone=KEY, prix_m2_officiel=RATE, surface_m2=RATE, valeur_totale=AMOUNT
     ),
-    "annonces_rejetees": T.StructType.fromDDL(
-        "titre STRING, zone STRING, prix DOUBLE, surface_m2 DOUBLE, type_bien STRING, "
-        "type_offre STRING, source STRING, raison_rejet STRING"
+    "annonces_rejetees": schema(
+        titre=TEXT, zone=TEXT, prix=REAL, surface_m2=REAL, type_bien=TEXT, type_offre=TEXT,
+        source=TEXT, raison_rejet=TEXT,
     ),
 }

@@ -12,11 +12,13 @@ from loticote.sources.schemas import STAR
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Overwrite a CSV folder, UTF-8 with header; quotes are doubled so that text reads back."""
+    """Overwrite a CSV folder, UTF-8 with header; text reads back as it was written."""
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("encoding", "UTF-8")
         .csv(path)
     )
