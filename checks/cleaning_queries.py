@@ -592,7 +592,7 @@ def long_zones(spark: SparkSession, sf: str) -> DataFrame:
     count(*) FILTER (NOT inside) AS nb_rejetes,
     {percent("count(*) FILTER (inside)", "count(*)", 1)} AS part_valides,
     round(sum(CAST(p AS DECIMAL(24,8))) FILTER (inside)::DOUBLE / count(*) FILTER (inside), 4)
-    AS prix_m2_moyen, round(quantile_cont(p, 0.5) FILTER (inside), 4) AS prix_m2_median,
+    AS prix_m2_moyen, round((quantile_disc(p, 0.5) FILTER (inside) - quantile_disc(-p, 0.5) FILTER (inside)) / 2, 4) AS prix_m2_median,
     min(p) FILTER (inside) AS prix_m2_min, max(p) FILTER (inside) AS prix_m2_max
     FROM flagged GROUP BY source""",
 )

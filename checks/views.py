@@ -183,6 +183,11 @@ def mean(x: str, scale: int = 2) -> str:
     return f"(sum(CAST({x} AS DECIMAL({scale + 16},{scale})))::DOUBLE / count({x}))"
 
 
+def median(x: str) -> str:
+    """Mean of the two middle values."""
+    return f"((quantile_disc({x}, 0.5) - quantile_disc(-({x}), 0.5)) / 2)"
+
+
 def percent(part: str, whole: str, digits: int) -> str:
     return exact_round(f"({part})::DOUBLE / ({whole}) * 100", digits)
 
@@ -222,7 +227,7 @@ OFFICIAL = f"""official AS (SELECT lower({OFFICIAL_ZONE}) AS zone, s_acctbal AS
     {FROM_SUPPLIER} WHERE s_acctbal > 0)"""
 
 STATS = f"""stats AS (SELECT zone, type_bien, type_offre, {scaled_round(mean("prix_m2"), 2)} AS
-    prix_moyen_m2, {scaled_round("quantile_cont(prix_m2, 0.5)", 2)} AS prix_median_m2,
+    prix_moyen_m2, {scaled_round(median("prix_m2"), 2)} AS prix_median_m2,
     min(prix) AS prix_min, max(prix) AS prix_max, count(*) AS nombre_annonces,
     'GLOBAL' AS periode FROM listings WHERE prix_m2 > 0 GROUP BY ALL)"""
 

@@ -86,10 +86,11 @@ def zone_map(stats: DataFrame, coords: DataFrame | None = None, zone: str = "zon
 
 def color_scale(df: DataFrame, value: str = "prix_moyen_m2") -> DataFrame:
     """Colour of each row between the lowest (green) and the highest (red) value."""
-    low = df.agg(F.min(value).alias("_low")).scalar()
-    high = df.agg(F.max(value).alias("_high")).scalar()
+    bounds = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("_range"))
+    low, high = F.col("_range.low"), F.col("_range.high")
     ratio = (F.col(value) - low) / (high - low + 1)
-    return df.withColumn("couleur", green_to_red(ratio))
+    ranged = df.withColumn("_range", bounds.scalar())
+    return ranged.withColumn("couleur", green_to_red(ratio)).drop("_range")
 
 
 def map_points(stats: DataFrame, coords: DataFrame | None = None, zone: str = "zone") -> DataFrame:

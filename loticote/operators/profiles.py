@@ -146,12 +146,15 @@ def _bin(value: Column, first: Column, width: Column, bins: int) -> Column:
 def histogram(df: DataFrame, value: str, bins: int, by: str) -> DataFrame:
     """Equal-width bins over the whole column, counted per value of ``by``."""
     rows = df.select(by, value).where(F.col(value).isNotNull())
-    low = rows.agg(F.min(value).alias("_low")).scalar()
-    high = rows.agg(F.max(value).alias("_high")).scalar()
-    first, width = _edges(low, high, bins)
-    placed = rows.withColumn("classe", _bin(F.col(value), first, width, bins))
-    counts = count_by(placed, [by, "classe"], "nb_annonces")
-    return counts.withColumn("borne_inf", first + F.col("classe") * width)
+    first, width = _edges(F.col("_low"), F.col("_high"), bins)
+    range_ = rows.agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    edges = range_.select(F.struct(first.alias("first"), width.alias("width")).alias("_edges"))
+    first, width = F.col("_edges.first"), F.col("_edges.width")
+    placed = rows.withColumn("_edges", edges.scalar()).select(
+        by, "_edges", _bin(F.col(value), first, width, bins).alias("classe")
+    )
+    counts = placed.groupBy(by, "classe", "_edges").agg(F.count(F.lit(1)).alias("nb_annonces"))
+    return counts.withColumn("borne_inf", first + F.col("classe") * width).drop("_edges")
 
 
 def histogram_by_group(df: DataFrame, value: str, bins: int, by: str) -> DataFrame:
@@ -172,14 +175,13 @@ def histogram_by_group(df: DataFrame, value: str, bins: int, by: str) -> DataFra
         "ranges",
     )
     first, width = _edges(F.col("_low"), F.col("_high"), bins)
-    placed = rows.join(ranges, by).select(
-        by,
-        _bin(F.col(value), first, width, bins).alias("classe"),
-        (first + _bin(F.col(value), first, width, bins) * width).alias("borne_inf"),
-        "moyenne",
-        "mediane",
-    )
-    return count_by(placed, [by, "classe", "borne_inf", "moyenne", "mediane"], "nb_annonces")
+    edges = ranges.select(by, "moyenne", "mediane", first.alias("_first"), width.alias("_width"))
+    lines = [by, "moyenne", "mediane", "_first", "_width"]
+    class_ = _bin(F.col(value), F.col("_first"), F.col("_width"), bins)
+    placed = rows.join(edges, by).select(*lines, class_.alias("classe"))
+    counts = count_by(placed, [*lines, "classe"], "nb_annonces")
+    borne = F.col("_first") + F.col("classe") * F.col("_width")
+    return counts.withColumn("borne_inf", borne).drop("_first", "_width")
 
 
 def official_top(official: DataFrame, n: int, zone: str = "zone") -> DataFrame:

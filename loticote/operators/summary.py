@@ -137,14 +137,23 @@ def _at_ranks(
             ends.append(F.max(F.when(here, F.col(value))).alias(f"_{name}_{end}"))
     picked = ordered.groupBy(*groups, "_total").agg(*ends)
 
-    points = []
-    for name, share in quantiles.items():
-        low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
-        position = F.lit(share) * (F.col("_total") - 1)
-        points.append((low + (high - low) * (position - F.floor(position))).alias(name))
+    points = [
+        _between(F.col(f"_{name}_low"), F.col(f"_{name}_high"), share).alias(name)
+        for name, share in quantiles.items()
+    ]
     return picked.select(*groups, *points)
 
 
+def _between(low: Column, high: Column, share: float) -> Column:
+    """Point between two neighbouring values, computed from the nearer one."""
+    if share == 0.5:
+        return (low + high) / 2
+    position = F.lit(share) * (F.col("_total") - 1)
+    part = position - F.floor(position)
+    span = high - low
+    return F.when(part < 0.5, low + span * part).otherwise(high - span * (1 - part))
+
+
 def quantile(df: DataFrame, value: str, share: float, name: str) -> DataFrame:
     """Exact quantile of a whole column, one row."""
     return grouped_summary(df, [], value, {name: share})
