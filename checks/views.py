@@ -108,7 +108,7 @@ def _with_source(spark: SparkSession, sf: str, df: DataFrame) -> DataFrame:
 
 
 def _facts(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "lineitem"))
+    return spread(table(spark, sf, "lineitem"), "l_orderkey")
 
 
 def listings(spark: SparkSession, sf: str, *columns: str) -> DataFrame:

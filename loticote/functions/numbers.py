@@ -75,14 +75,12 @@ def round_exact(value: Column, digits: int) -> Column:
     """
     scale = F.lit(float(10**digits))
     product = value * scale
+    nearest = F.rint(product)
     carry = value * F.lit(HALF_SPLIT)
     high = carry - (carry - value)
     error = (high * scale - product) + (value - high) * scale
-    floor = F.floor(product).cast("double")
-    rest = product - floor
-    tie_up = (error > 0) | ((error == 0) & (floor % 2 != 0))
-    up = (rest > 0.5) | ((rest == 0.5) & tie_up)
-    return F.when(value.isNotNull(), (floor + F.when(up, 1.0).otherwise(0.0)) / scale)
+    off_tie = (F.abs(product - nearest) == 0.5) & (error != 0)
+    return F.when(off_tie, product + F.signum(error) / 2).otherwise(nearest) / scale
 
 
 def round_scaled(value: Column, digits: int) -> Column:

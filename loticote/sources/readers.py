@@ -19,14 +19,15 @@ log = logging.getLogger(__name__)
 SOURCE_HEADER = re.compile(r"^source\d*$", re.IGNORECASE)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Share a scanned table out when it arrives in fewer partitions than there are cores.
 
     That happens with a few large files that cannot be split: CSV with quoted line breaks, or
-    Parquet with one row group. A table in many files passes through without a shuffle.
+    Parquet with one row group. A table in many files passes through without a shuffle. With
+    key columns rows go by their hash, which saves the sort that makes a round robin repeatable.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
