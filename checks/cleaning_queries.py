@@ -104,6 +104,10 @@ def tagged(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.tag_listings(v.raw_listings(spark, sf), PARAMS)
 
 
+def stored(spark: SparkSession, sf: str) -> DataFrame:
+    return cleaning.store_tagged(v.raw_listings(spark, sf), PARAMS)
+
+
 def valid(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.clean_listings(v.raw_listings(spark, sf), PARAMS)[0]
 
@@ -459,7 +463,7 @@ def reject_cascade(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("valid_rows", with_(RAW, STANDARD, TAGGED) + f"SELECT {CANONICAL} FROM tagged WHERE raison_rejet IS NULL")
 def valid_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return real_rooms(quality.split(tagged(spark, sf))[0])
+    return real_rooms(quality.split(stored(spark, sf))[0])
 
 
 @query(
@@ -469,7 +473,7 @@ def valid_rows(spark: SparkSession, sf: str) -> DataFrame:
 )
 def reject_rows(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "rejects")
-    rows = quality.split(tagged(spark, sf))[1]
+    rows = quality.split(stored(spark, sf))[1]
     writers.write_rejects(rows, path)
     return real_rooms(spark.read.schema(rows.schema).parquet(path))
 
@@ -523,7 +527,7 @@ def dedup_4key(spark: SparkSession, sf: str) -> DataFrame:
     WHERE raison_rejet IS NOT NULL GROUP BY ALL""",
 )
 def reject_report(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.reject_report(tagged(spark, sf))
+    return quality.reject_report(stored(spark, sf))
 
 
 @query(

@@ -13,7 +13,7 @@ from checks.cleaning_queries import (
     CLEAN,
     CLEAN_VALUES,
     real_rooms,
-    tagged,
+    stored,
     title,
     valid,
     values,
@@ -231,7 +231,7 @@ def listings_per_source(spark: SparkSession, sf: str) -> DataFrame:
     FROM tagged WHERE raison_rejet IS NOT NULL""",
 )
 def rejects_table(spark: SparkSession, sf: str) -> DataFrame:
-    return star.rejects_table(quality.split(tagged(spark, sf))[1])
+    return star.rejects_table(quality.split(stored(spark, sf))[1])
 
 
 @query(

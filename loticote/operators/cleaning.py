@@ -13,6 +13,7 @@ from loticote.functions.numbers import clean_price, fill_rooms, to_number
 from loticote.functions.text import normalize_text, standardize_offer, standardize_type
 from loticote.operators import quality
 from loticote.operators.quality import QualityParams
+from loticote.session import materialize
 from loticote.sources.readers import SOURCE_HEADER
 from loticote.sources.schemas import LISTING, OFFICIAL
 
@@ -57,11 +58,20 @@ def tag_listings(raw: DataFrame, params: QualityParams = QualityParams()) -> Dat
     return quality.tag_reasons(standardize_listings(raw), params)
 
 
+def store_tagged(raw: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
+    """Tagged listings, stored with one folder per reason.
+
+    A filter on the reason would be pushed below the cleaning and repeat the rules for each row,
+    once for the valid side and once for the rejects. On the stored table it picks folders.
+    """
+    return materialize(tag_listings(raw, params), "tagged", [quality.REASON])
+
+
 def clean_listings(
     raw: DataFrame, params: QualityParams = QualityParams()
 ) -> tuple[DataFrame, DataFrame]:
     """(valid and without copies, rejected with reason)."""
-    valid, rejected = quality.split(tag_listings(raw, params))
+    valid, rejected = quality.split(store_tagged(raw, params))
     return quality.drop_duplicates(valid), rejected
 
 
