@@ -12,6 +12,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+_registered: list[str] = []
+
+
+def names() -> list[str]:
+    """The queries of this package, without those that other packages add."""
+    return sorted(_registered)
 
 
 def query(name: str, sql: str) -> Callable[[Query], Query]:
@@ -20,6 +26,7 @@ def query(name: str, sql: str) -> Callable[[Query], Query]:
             return build(tune(spark), sf)
 
         QUERIES[name] = run
+        _registered.append(name)
         ORACLE[name] = sql
         return build
 

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from checks.registry import names
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,10 +27,11 @@ def rows(table, names):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(names()) <= set(driver.queries())
+    assert set(names()) <= set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", names())
 def test_same_rows(spark, oracle, name):
     df = driver.queries()[name](spark, SF)
     got = df.collect()
