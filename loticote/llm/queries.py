@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loticote.llm import sharding, token_counts
+from loticote.llm import secrets, sharding, token_counts, topk
 from loticote.llm.common import prepare
 from loticote.session import tune
 
@@ -53,3 +53,40 @@ def op2_minimax_shards(spark: SparkSession, sf: str) -> DataFrame:
 def op7_overlap_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts.count_tokens(table(spark, sf, "documents"), path, limit=2048)
+
+
+TOPK_SQL = """
+WITH usable AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.v, d.v) AS BIGINT) AS score
+  FROM usable q JOIN usable d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id AND len(q.v) = len(d.v)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
+
+
+@query("op6_voronoi_topk", TOPK_SQL)
+def op6_voronoi_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.voronoi_topk(table(spark, sf, "embeddings"))
+
+
+@query("op9_owned_secrets")
+def op9_owned_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    df = secrets.scan(table(spark, sf, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    place = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
+    return df.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(secrets.listed(F.transform(base, place)), 256).alias("base_sha256"),
+        secrets.listed(F.transform("spans", place)).alias("spans"),
+        "n_live",
+        "n_example",
+    )
