@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loticote.llm import pieces, secrets, sharding, token_counts, topk
+from loticote.llm import language, pieces, secrets, sharding, token_counts, topk
 from loticote.llm.common import prepare
 from loticote.session import tune
 
@@ -95,3 +95,8 @@ def op9_owned_secrets(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_sentencepiece")
 def op5_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode_texts(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op3_language_field")
+def op3_language_field(spark: SparkSession, sf: str) -> DataFrame:
+    return language.detect_language(table(spark, sf, "documents"))
