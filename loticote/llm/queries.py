@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loticote.llm import language, pieces, secrets, sharding, token_counts, topk
+from loticote.llm import decontaminate, language, pieces, secrets, sharding, token_counts, topk
 from loticote.llm.common import prepare
 from loticote.session import tune
 
@@ -100,3 +100,8 @@ def op5_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
 @query("op3_language_field")
 def op3_language_field(spark: SparkSession, sf: str) -> DataFrame:
     return language.detect_language(table(spark, sf, "documents"))
+
+
+@query("op1_qgram_leaks")
+def op1_qgram_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
