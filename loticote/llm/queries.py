@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loticote.llm import decontaminate, language, pieces, secrets, sharding, token_counts, topk
+from loticote.llm import (
+    decontaminate,
+    language,
+    pieces,
+    secrets,
+    sharding,
+    shingles,
+    token_counts,
+    topk,
+)
 from loticote.llm.common import prepare
 from loticote.session import tune
 
@@ -105,3 +114,8 @@ def op3_language_field(spark: SparkSession, sf: str) -> DataFrame:
 @query("op1_qgram_leaks")
 def op1_qgram_leaks(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op8_shingle_join")
+def op8_shingle_join(spark: SparkSession, sf: str) -> DataFrame:
+    return shingles.similar_documents(table(spark, sf, "documents"))
