@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loticote.llm import (
     decontaminate,
     language,
+    mixing,
     pieces,
     secrets,
     sharding,
@@ -119,3 +120,8 @@ def op1_qgram_leaks(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_shingle_join")
 def op8_shingle_join(spark: SparkSession, sf: str) -> DataFrame:
     return shingles.similar_documents(table(spark, sf, "documents"))
+
+
+@query("op4_context_mixing")
+def op4_context_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.score_texts(table(spark, sf, "documents"))
