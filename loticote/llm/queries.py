@@ -13,6 +13,7 @@ from loticote.llm import (
     language,
     mixing,
     pieces,
+    repeats,
     secrets,
     sharding,
     shingles,
@@ -125,3 +126,16 @@ def op8_shingle_join(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_context_mixing")
 def op4_context_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.score_texts(table(spark, sf, "documents"))
+
+
+@query("op10_prefix_free_repeats")
+def op10_prefix_free_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    df = repeats.remove_repeats(table(spark, sf, "documents"), length=200)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return df.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
