@@ -12,7 +12,7 @@ from loticote.functions import fixed_values as fixed
 from loticote.functions import numbers, text
 from loticote.operators import cleaning, profiles, quality
 from loticote.operators.quality import QualityParams
-from loticote.session import scratch_path
+from loticote.session import materialize, scratch_path
 from loticote.sources import readers, writers
 
 # --- SQL building blocks ----------------------------------------------------------------------
@@ -56,8 +56,8 @@ def rooms_from_type(x: str) -> str:
 
 def parse_rooms(x: str) -> str:
     return (
-        rf"CASE WHEN regexp_matches({x}, '^\.*[0-9][0-9.]*$') "
-        rf"THEN CAST(trunc(TRY_CAST({x} AS DOUBLE)) AS INTEGER) END"
+        rf"CASE WHEN regexp_matches({strip(x)}, '^\.*[0-9][0-9.]*$') "
+        rf"THEN CAST(trunc(TRY_CAST({strip(x)} AS DOUBLE)) AS INTEGER) END"
     )
 
 
@@ -75,12 +75,13 @@ def reason(zone: str, price: str, surface: str, params: QualityParams = PARAMS)
 
 TYPE_KEY = f"lower({strip('''"Type de bien"''')})"
 ROOMS = parse_rooms('"Piece"')
+STATED_ROOMS = f"CAST(trunc({to_number('"Piece"')}) AS INTEGER)"
 ROOMS_IN_TYPE = rooms_from_type('"Type de bien"')
 STANDARD = f"""types AS (SELECT * FROM {values(fixed.PROPERTY_TYPES)}),
 standard AS (SELECT "Titre" AS titre, upper({strip('''"Type d'offre"''')}) AS type_offre,
     coalesce(types.w, {initcap(TYPE_KEY)}) AS type_bien,
     lower({strip('"Quartier"')}) AS zone, {clean_price('"Prix"')} AS prix,
-    coalesce({ROOMS}, CASE WHEN {ROOMS_IN_TYPE} > 0 THEN {ROOMS_IN_TYPE} END) AS pieces,
+    coalesce({STATED_ROOMS}, CASE WHEN {ROOMS_IN_TYPE} > 0 THEN {ROOMS_IN_TYPE} END) AS pieces,
     {to_number('"Surface"')} AS surface_m2, source
     FROM raw LEFT JOIN types ON types.k = {TYPE_KEY})"""
 TAGGED = f"tagged AS (SELECT *, {reason('zone', 'prix', 'surface_m2')} AS raison_rejet FROM standard)"
@@ -131,6 +132,26 @@ def scan_listings(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.rename_listings(readers.read_listings(spark, path, "facebook"))
 
 
+@query(
+    "scan_mixed_headers",
+    with_(RAW)
+    + RAW_SELECT.replace(
+        '"Surface"', """CASE WHEN l_linenumber <> 3 THEN nullif("Surface", '') END"""
+    )
+    + ", 'facebook' AS source FROM raw",
+)
+def scan_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Part files of one folder: another order of columns, and one column missing."""
+    path = scratch_path(spark, "mixed.csv")
+    df = materialize(v.raw_listings(spark, sf, "l_linenumber"), "raw")
+    first = df.where("l_linenumber NOT IN (2, 3)").drop("l_linenumber")
+    writers.write_csv(first, f"{path}/a")
+    writers.write_csv(df.where("l_linenumber = 2").select(*reversed(first.columns)), f"{path}/b")
+    writers.write_csv(df.where("l_linenumber = 3").drop("Surface", "l_linenumber"), f"{path}/c")
+    read = readers.read_listings(spark, [f"{path}/{x}" for x in "abc"], "facebook")
+    return cleaning.rename_listings(read)
+
+
 @query(
     "scan_official",
     with_(RAW_VALUES)
@@ -157,7 +178,7 @@ SOURCES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
     WHERE source IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')""",
 )
 def union_sources(spark: SparkSession, sf: str) -> DataFrame:
-    df = v.listings(spark, sf, "titre", "zone", "prix", "surface_m2", "source")
+    df = materialize(v.listings(spark, sf, "titre", "zone", "prix", "surface_m2", "source"), "listings")
     frames = {name: df.where(F.col("source") == name) for name in SOURCES}
     frames["2-HIGH"] = frames["2-HIGH"].drop("surface_m2")
     absent = readers.read_if_present(
@@ -197,6 +218,15 @@ def source_overview(spark: SparkSession, sf: str) -> DataFrame:
     return profiles.source_overview(df)
 
 
+@query(
+    "preview",
+    with_(LISTINGS)
+    + "SELECT titre, zone, prix FROM listings ORDER BY prix, titre, zone LIMIT 20",
+)
+def preview(spark: SparkSession, sf: str) -> DataFrame:
+    return profiles.preview(v.listings(spark, sf, "titre", "zone", "prix"), 20, ["prix", "titre", "zone"])
+
+
 # --- sinks ------------------------------------------------------------------------------------
 
 LISTING_ROWS = "SELECT titre, zone, type_bien, type_offre, prix, surface_m2 FROM listings"
@@ -377,7 +407,7 @@ def extract_rooms(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "fill_rooms",
     with_(RAW)
-    + f"""SELECT "Piece" AS brut, "Type de bien" AS type_bien, coalesce({ROOMS},
+    + f"""SELECT "Piece" AS brut, "Type de bien" AS type_bien, coalesce({STATED_ROOMS},
     CASE WHEN {ROOMS_IN_TYPE} > 0 THEN {ROOMS_IN_TYPE} END)::DOUBLE AS pieces, count(*) AS nb
     FROM raw GROUP BY ALL""",
 )
@@ -478,6 +508,22 @@ def reject_rows(spark: SparkSession, sf: str) -> DataFrame:
     return real_rooms(spark.read.schema(rows.schema).parquet(path))
 
 
+@query(
+    "clean_v1",
+    with_(RAW)
+    + f""", first AS (SELECT "Titre" AS titre, "Type d'offre" AS type_offre,
+    "Type de bien" AS type_bien, lower({strip('"Quartier"')}) AS zone,
+    {clean_price('"Prix"')} AS prix, "Piece" AS pieces, {to_number('"Surface"')} AS surface_m2, source
+    FROM raw), placed AS (SELECT *, row_number() OVER (PARTITION BY source, titre, prix, zone ORDER BY
+    {ORDER}, surface_m2) AS place FROM first WHERE prix > 0 AND surface_m2 > 0
+    AND zone NOT IN ('non spécifié', 'non spécifiés', ''))
+    SELECT titre, type_offre, type_bien, zone, prix, pieces, surface_m2, source FROM placed
+    WHERE place = 1""",
+)
+def clean_v1(spark: SparkSession, sf: str) -> DataFrame:
+    return cleaning.clean_listings_v1(v.raw_listings(spark, sf))
+
+
 # Coarse prices and surfaces, so that many listings are copies of one another.
 COARSE = """coarse AS (SELECT titre, zone, source, type_bien, type_offre,
     floor(prix / 20000) * 20000 AS prix, ceil(surface_m2 / 25) * 25 AS surface_m2 FROM listings)"""

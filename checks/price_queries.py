@@ -337,7 +337,7 @@ def price_histogram_by_source(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "market_vs_official",
-    with_(LISTINGS, OFFICIAL, OFFICIAL_MEAN)
+    with_(LISTINGS, OFFICIAL, OFFICIAL_MEAN.replace("GROUP BY", "WHERE prix_m2_officiel IS NOT NULL GROUP BY"))
     + f"""SELECT zone, {mean("prix_m2")} AS prix_marche_m2,
     any_value(prix_m2_officiel) AS prix_venale_m2
     FROM listings JOIN official_mean USING (zone) GROUP BY zone

@@ -61,23 +61,22 @@ def top_types_by_source(spark: SparkSession, sf: str) -> DataFrame:
 NORMAL_ZONE = f"lower({strip('''\"Quartier\"''')})"
 
 
-def by_source(spark: SparkSession, sf: str, *sources: str) -> list[DataFrame]:
-    df = v.raw_listings(spark, sf).select("source", F.col("Quartier").alias("zone"))
-    return [df.where(F.col("source") == s) for s in sources]
+def source_zones(spark: SparkSession, sf: str) -> DataFrame:
+    return v.raw_listings(spark, sf).select("source", F.col("Quartier").alias("zone"))
 
 
-THREE = ("1-URGENT", "2-HIGH", "3-MEDIUM")
+SOURCES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 
 @query(
     "top_zones_all",
     with_(RAW)
     + f"""SELECT {NORMAL_ZONE} AS zone, count(*) AS nb_annonces FROM raw
-    WHERE source IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND {NORMAL_ZONE} <> 'non spécifié'
+    WHERE {NORMAL_ZONE} <> 'non spécifié'
     AND length({NORMAL_ZONE}) <= 30 GROUP BY 1 ORDER BY nb_annonces DESC, zone LIMIT 15""",
 )
 def top_zones_all(spark: SparkSession, sf: str) -> DataFrame:
-    return profiles.top_zones_all(by_source(spark, sf, *THREE), 15)
+    return profiles.top_zones_all(source_zones(spark, sf), 15)
 
 
 @query(
@@ -85,11 +84,11 @@ def top_zones_all(spark: SparkSession, sf: str) -> DataFrame:
     with_(RAW)
     + " INTERSECT ".join(
         f"SELECT {NORMAL_ZONE} AS zone FROM raw WHERE source = '{s}' AND \"Quartier\" IS NOT NULL"
-        for s in THREE
+        for s in SOURCES
     ),
 )
 def common_zones(spark: SparkSession, sf: str) -> DataFrame:
-    return profiles.common_values(by_source(spark, sf, *THREE), "zone")
+    return profiles.common_values(source_zones(spark, sf), "zone", "source")
 
 
 @query(
@@ -123,7 +122,7 @@ def distinct_values(spark: SparkSession, sf: str) -> DataFrame:
     "official_top15",
     with_(OFFICIAL)
     + f"""SELECT zone, {mean("prix_m2_officiel")} AS prix_m2_moyen FROM official GROUP BY zone
-    ORDER BY prix_m2_moyen DESC, zone LIMIT 15""",
+    ORDER BY prix_m2_moyen DESC NULLS LAST, zone LIMIT 15""",
 )
 def official_top15(spark: SparkSession, sf: str) -> DataFrame:
     return profiles.official_top(v.official(spark, sf), 15)

@@ -24,6 +24,7 @@ from loticote.functions import fixed_values as fixed
 from loticote.operators import cleaning, quality, star
 from loticote.session import materialize, scratch_path
 from loticote.sources import writers
+from loticote.sources.schemas import RESULT_TABLES
 
 # One source is blank, so its listings cannot be loaded.
 SOURCE_TEXT = "CASE source WHEN '4-NOT SPECIFIED' THEN NULL ELSE source END"
@@ -118,18 +119,28 @@ def dim_property(spark: SparkSession, sf: str) -> DataFrame:
 @query("load_fact", BASE + "SELECT titre, prix, prix_m2, type_bien, zone FROM loaded")
 def load_fact(spark: SparkSession, sf: str) -> DataFrame:
     base = Star(spark, sf)
-    loaded = materialize(base.loaded(), "loaded")
-    listing = writers.conform(star.fact_listing(loaded), "annonce")
-    pairs = star.pair_listings(listing, star.dim_property(loaded).drop("prix_m2"))
-    return with_names(pairs, base).select(
+    return loaded_rows(base.loaded(), base)
+
+
+def loaded_rows(loaded: DataFrame, base: Star) -> DataFrame:
+    """What the fact table holds of each listing, in the widths of its columns."""
+    return with_names(loaded, base).select(
         "titre",
-        F.col("prix").cast("double").alias("prix"),
-        F.col("prix_m2").cast("double").alias("prix_m2"),
+        F.col("prix").cast("decimal(15,2)").cast("double").alias("prix"),
+        F.col("prix_m2").cast("decimal(10,2)").cast("double").alias("prix_m2"),
         "type_bien",
         "zone",
     )
 
 
+@query("pair_listings", BASE + "SELECT titre, prix, prix_m2, type_bien, zone FROM loaded")
+def pair_listings(spark: SparkSession, sf: str) -> DataFrame:
+    base = Star(spark, sf)
+    loaded = materialize(base.loaded(), "loaded")
+    listing = writers.conform(star.fact_listing(loaded), "annonce")
+    return loaded_rows(star.pair_listings(listing, star.dim_property(loaded)), base)
+
+
 @query(
     "load_skipped",
     BASE
@@ -142,6 +153,44 @@ def load_skipped(spark: SparkSession, sf: str) -> DataFrame:
     return star.load_skipped(base.listings, base.zones, base.sources)
 
 
+# Some titles come with a price, some official rows with a price per m2, that no column can hold.
+HUGE = "CASE WHEN prix > 100000 THEN 1e14 ELSE prix END"
+HUGE_VALUE = "CASE WHEN prix_m2_officiel > 9500 THEN 2e9 ELSE prix_m2_officiel END"
+
+
+@query(
+    "skipped_rows",
+    BASE.rstrip()
+    + f""", {RAW_VALUES}, {CLEAN_VALUES},
+    annonces AS (SELECT CASE WHEN zone NOT IN (SELECT nom FROM zones) THEN 'zone_inconnue'
+    WHEN source IS NULL THEN 'source_inconnue' WHEN pieces = '1.2.3' THEN 'pieces_invalides'
+    WHEN prix > 100000 THEN 'valeur_hors_bornes' END AS raison_ignore FROM listed),
+    valeurs AS (SELECT CASE WHEN zone IS NULL THEN 'zone_inconnue'
+    WHEN prix_m2_officiel > 9500 THEN 'valeur_hors_bornes' END AS raison_ignore FROM clean_values)
+    SELECT 'annonces' AS origine, raison_ignore, count(*) AS nb_lignes FROM annonces GROUP BY ALL
+    UNION ALL SELECT 'valeurs', raison_ignore, count(*) FROM valeurs GROUP BY ALL""",
+)
+def skipped_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Loaded rows (no reason) and skipped ones by reason: together all rows that were given."""
+    base = Star(spark, sf)
+    listings = base.listings.withColumn("prix", F.expr(HUGE))
+    tagged = star.tag_load(listings, base.zones, base.sources)
+    official = cleaning.clean_official(v.raw_official(spark, sf))
+    stored, refused = star.split_official(official.withColumn("prix_m2_officiel", F.expr(HUGE_VALUE)))
+    parts = {
+        "annonces": star.split_load(tagged),
+        "valeurs": (stored, refused),
+    }
+    counts = []
+    for name, (loaded, skipped) in parts.items():
+        rows = loaded.select(F.lit(None).cast("string").alias(star.SKIP_REASON)).unionByName(
+            skipped.select(star.SKIP_REASON)
+        )
+        counted = rows.groupBy(star.SKIP_REASON).agg(F.count(F.lit(1)).alias("nb_lignes"))
+        counts.append(counted.withColumn("origine", F.lit(name)))
+    return counts[0].unionByName(counts[1])
+
+
 @query(
     "unmatched_keys",
     STAR
@@ -241,7 +290,9 @@ def rejects_table(spark: SparkSession, sf: str) -> DataFrame:
     UNION ALL SELECT 'zone_geographique', count(*) FROM all_zones
     UNION ALL SELECT 'annonce', count(*) FROM loaded
     UNION ALL SELECT 'bien_immobilier', count(*) FROM loaded
-    UNION ALL SELECT 'valeur_venale', count(*) FROM clean_values""",
+    UNION ALL SELECT 'valeur_venale', count(*) FROM clean_values
+    UNION ALL SELECT 'annonces_rejetees', count(*) FROM tagged WHERE raison_rejet IS NOT NULL
+    UNION ALL SELECT 'statistiques_zone', 0 UNION ALL SELECT 'indice_immobilier', 0""",
 )
 def star_refresh(spark: SparkSession, sf: str) -> DataFrame:
     base = Star(spark, sf)
@@ -253,8 +304,12 @@ def star_refresh(spark: SparkSession, sf: str) -> DataFrame:
         "annonce": star.fact_listing(loaded),
         "bien_immobilier": star.dim_property(loaded),
         "valeur_venale": official,
+        "annonces_rejetees": star.rejects_table(quality.split(stored(spark, sf))[1]),
     }
     root = scratch_path(spark, "star")
     # A second refresh replaces the first one and does not add to it.
     writers.refresh_star(spark, {"zone_geographique": base.zones}, root)
+    stale = base.zones.select(F.col("id").alias("id_zone"), F.lit("2023").alias("periode"))
+    for name in RESULT_TABLES:
+        writers.write_periods(writers.conform(stale, name), f"{root}/{name}")
     return writers.refresh_star(spark, tables, root)

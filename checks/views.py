@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from loticote.functions.numbers import price_per_m2
 from loticote.operators.quality import QualityParams
-from loticote.sources.readers import spread
 
 # Prices per square metre of the tables run from 19 to 105 000, so the upper bound is lowered.
 PARAMS = QualityParams(price_m2_max=20_000)
@@ -56,6 +55,7 @@ RAW_SURFACE = """CASE
 
 RAW_ROOMS = """CASE
     WHEN p_size = 30 THEN '1.2.3' WHEN p_size = 31 THEN '-2' WHEN p_size = 32 THEN '3.7'
+    WHEN p_size = 33 THEN ' 3 ' WHEN p_size = 4 THEN '-2'
     WHEN p_size < 10 THEN NULL WHEN p_size < 20 THEN 'Non spécifié'
     WHEN p_size < 40 THEN concat(cast(p_size as string), '.0') ELSE cast(p_size as string) END"""
 
@@ -108,7 +108,8 @@ def _with_source(spark: SparkSession, sf: str, df: DataFrame) -> DataFrame:
 
 
 def _facts(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "lineitem"), "l_orderkey")
+    # The table is one file with one row group, which one task would read and compute on.
+    return table(spark, sf, "lineitem").repartition("l_orderkey")
 
 
 def listings(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
@@ -136,10 +137,10 @@ def listings(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return df.select(*[known[c]().alias(c) for c in wanted])
 
 
-def raw_listings(spark: SparkSession, sf: str) -> DataFrame:
+def raw_listings(spark: SparkSession, sf: str, *further: str) -> DataFrame:
     df = _facts(spark, sf)
     df = _with_source(spark, sf, _with_zone(spark, sf, _with_part(spark, sf, df)))
-    return df.select(*[F.expr(text).alias(name) for name, text in RAW_LISTING.items()])
+    return df.select(*[F.expr(text).alias(name) for name, text in RAW_LISTING.items()], *further)
 
 
 def raw_official(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,11 +150,12 @@ def raw_official(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def official(spark: SparkSession, sf: str) -> DataFrame:
-    """Official prices with the zone as listings spell it; several rows per zone."""
+    """Official prices with the zone as listings spell it; several rows per zone, some unpriced."""
     supplier, nation = table(spark, sf, "supplier"), table(spark, sf, "nation")
     df = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
-    return df.where("s_acctbal > 0").select(
-        F.lower(F.expr(OFFICIAL_ZONE)).alias("zone"), F.col("s_acctbal").alias("prix_m2_officiel")
+    return df.select(
+        F.lower(F.expr(OFFICIAL_ZONE)).alias("zone"),
+        F.when(F.col("s_acctbal") > 0, F.col("s_acctbal")).alias("prix_m2_officiel"),
     )
 
 
@@ -219,12 +221,12 @@ LISTINGS = f"""listings AS (SELECT p_name AS titre,
     {per_m2("l_extendedprice", "l_quantity")} AS prix_m2
     {FROM_LINEITEM})"""
 
-RAW = f"raw AS (SELECT {_columns(RAW_LISTING)}\n    {FROM_LINEITEM})"
+RAW = f"raw AS (SELECT {_columns(RAW_LISTING)}, l_linenumber\n    {FROM_LINEITEM})"
 
 FROM_SUPPLIER = "FROM supplier JOIN nation ON s_nationkey = n_nationkey"
 RAW_VALUES = f"raw_values AS (SELECT {_columns(RAW_OFFICIAL)}\n    {FROM_SUPPLIER})"
-OFFICIAL = f"""official AS (SELECT lower({OFFICIAL_ZONE}) AS zone, s_acctbal AS prix_m2_officiel
-    {FROM_SUPPLIER} WHERE s_acctbal > 0)"""
+OFFICIAL = f"""official AS (SELECT lower({OFFICIAL_ZONE}) AS zone,
+    CASE WHEN s_acctbal > 0 THEN s_acctbal END AS prix_m2_officiel {FROM_SUPPLIER})"""
 
 STATS = f"""stats AS (SELECT zone, type_bien, type_offre, {scaled_round(mean("prix_m2"), 2)} AS
     prix_moyen_m2, {scaled_round(median("prix_m2"), 2)} AS prix_median_m2,

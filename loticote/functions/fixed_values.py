@@ -5,6 +5,22 @@ PRICE_M2_MIN = 1_000
 PRICE_M2_MAX = 2_000_000
 ZONE_MAX_LENGTH = 30
 
+# --- fixed values: names of the reasons, in the order of the rules ----------------------------
+REASONS = (
+    "zone_trop_longue", "zone_invalide", "zone_description_lieu", "prix_ou_surface_manquant",
+    "prix_m2_trop_eleve", "prix_m2_trop_bas",
+)
+
+# --- fixed values: patterns -------------------------------------------------------------------
+ROOM_PREFIX = r"^(\d+)\s*chambre"
+NOT_A_PRICE = r"[^\d.]"
+
+# --- fixed values: columns of the comparison table --------------------------------------------
+TABLE_COLUMNS = (
+    "zone_nom", "zone", "type_bien", "type_offre", "prix_moyen_m2", "prix_median_m2",
+    "nombre_annonces", "ecart_valeur_venale",
+)
+
 # --- fixed values: words that make a zone a description of a place ----------------------------
 SUSPICIOUS_WORDS = (
     "pharmacie", "cote de", "juste", "derriere", "face a", "avant", "apres", "carrefour",

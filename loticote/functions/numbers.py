@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loticote.functions.fixed_values import NOT_A_PRICE, ROOM_PREFIX
 from loticote.functions.text import normalize_text, strip
 
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 ROOM_COUNT = r"^(\d+\.?\d*|\.\d+)$"
 SEVERAL_DOTS = r"^[0-9.]*[0-9][0-9.]*$"
-ROOM_PREFIX = r"^(\d+)\s*chambre"
-POSITIVE_ROOM_PREFIX = r"^0*([1-9]\d*)\s*chambre"
 
 # 2**27 + 1 cuts a double into two halves whose products are exact.
 HALF_SPLIT = 134217729.0
@@ -36,13 +35,13 @@ def clean_price(col: Column, numeric: bool = False) -> Column:
     if numeric:
         value = F.abs(col.cast("double"))
         return F.when(~F.isnan(value), value)
-    kept = F.regexp_replace(col, r"[^\d.]", "")
+    kept = F.regexp_replace(col, NOT_A_PRICE, "")
     return F.nullif(kept, F.lit("")).try_cast("double")
 
 
-def _leading_count(col: Column, pattern: str) -> Column:
-    found = F.regexp_extract(normalize_text(col), pattern, 1)
-    return F.nullif(found, F.lit("")).try_cast("int")
+def _leading_count(col: Column, pattern: str, least: int = 0) -> Column:
+    found = F.nullif(F.regexp_extract(normalize_text(col), pattern, 1), F.lit("")).try_cast("int")
+    return F.when(found >= least, found)
 
 
 def rooms_from_type(col: Column) -> Column:
@@ -52,19 +51,24 @@ def rooms_from_type(col: Column) -> Column:
 
 def parse_rooms(col: Column) -> Column:
     """Room count given as digits and at most one dot, cut to a whole number; NULL otherwise."""
-    return F.regexp_substr(col.cast("string"), F.lit(ROOM_COUNT)).try_cast("double").try_cast("int")
+    text = strip(col.cast("string"))
+    return F.regexp_substr(text, F.lit(ROOM_COUNT)).try_cast("double").try_cast("int")
 
 
 def malformed_rooms(col: Column) -> Column:
-    """Digits with several dots: the loader refuses the whole listing, not just the count."""
-    text = col.cast("string")
+    """Digits with several dots: the loader refuses the whole listing, not just the count.
+
+    Cleaning turns such a text into a missing count, so this meets listings that were not cleaned here.
+    """
+    text = strip(col.cast("string"))
     refused = text.rlike(SEVERAL_DOTS) & ~text.rlike(ROOM_COUNT)
     return F.coalesce(refused, F.lit(False))
 
 
 def fill_rooms(rooms: Column, type_text: Column) -> Column:
-    """The stated room count, or else a positive one found in the type text."""
-    return F.coalesce(parse_rooms(rooms), _leading_count(type_text, POSITIVE_ROOM_PREFIX))
+    """The stated number, negative ones as well, or else a positive one found in the type text."""
+    stated = to_number(rooms).try_cast("int")
+    return F.coalesce(stated, _leading_count(type_text, ROOM_PREFIX, least=1))
 
 
 def round_exact(value: Column, digits: int) -> Column:

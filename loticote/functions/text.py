@@ -17,10 +17,6 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Accented Latin letters and the plain letters an accent-insensitive collation equates them with.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
-
 
 def strip(col: Column) -> Column:
     return F.trim(col, F.lit(WHITESPACE))
@@ -35,8 +31,8 @@ def upper_trim(col: Column) -> Column:
 
 
 def fold_text(col: Column) -> Column:
-    """Case- and accent-insensitive grouping key (``bè`` and ``Be`` both give ``be``)."""
-    return F.translate(normalize_text(col), ACCENTED, PLAIN)
+    """Case- and accent-insensitive key for grouping and joining: ``bè`` and ``Be`` are one group."""
+    return F.collate(normalize_text(col), "UNICODE_CI_AI")
 
 
 def title_case(col: Column) -> Column:

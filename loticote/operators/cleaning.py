@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StructType
 
 from loticote.functions import fixed_values as fixed
 from loticote.functions.numbers import clean_price, fill_rooms, to_number
@@ -32,15 +32,19 @@ def rename_official(df: DataFrame) -> DataFrame:
     return rename_present(df, fixed.OFFICIAL_COLUMNS)
 
 
+def _with_columns(df: DataFrame, schema: StructType) -> DataFrame:
+    """A column the source lacks is NULL text."""
+    missing = [name for name in schema.names if name not in df.columns]
+    return df.withColumns({name: F.lit(None).cast("string") for name in missing})
+
+
 def _is_numeric(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, NumericType)
 
 
 def standardize_listings(raw: DataFrame, null_type: str | None = None) -> DataFrame:
     """Canonical listing columns with clean types; a column the source lacks is NULL."""
-    df = rename_listings(raw)
-    missing = [f for f in LISTING.fields if f.name not in df.columns]
-    df = df.withColumns({f.name: F.lit(None).cast("string") for f in missing})
+    df = _with_columns(rename_listings(raw), LISTING)
     return df.select(
         F.col("titre").cast("string").alias("titre"),
         standardize_offer(F.col("type_offre")).alias("type_offre"),
@@ -76,16 +80,25 @@ def clean_listings(
 
 
 def clean_listings_v1(raw: DataFrame) -> DataFrame:
-    """First version of the rules: positive numbers, known zone, copies by title, price, zone."""
-    df = quality.keep_known_zone(quality.keep_positive(standardize_listings(raw)))
-    return quality.drop_duplicates_v1(df)
+    """First version of the rules: positive numbers, known zone, copies by title, price, zone.
+
+    Types, offers and room counts stay as they were written.
+    """
+    df = _with_columns(rename_listings(raw), LISTING)
+    df = df.select(
+        *[F.col(c).cast("string").alias(c) for c in ("titre", "type_offre", "type_bien")],
+        normalize_text(F.col("zone")).alias("zone"),
+        clean_price(F.col("prix"), numeric=_is_numeric(df, "prix")).alias("prix"),
+        F.col("pieces").cast("string").alias("pieces"),
+        to_number(F.col("surface_m2")).alias("surface_m2"),
+        "source",
+    )
+    return quality.drop_duplicates_v1(quality.keep_known_zone(quality.keep_positive(df)))
 
 
 def clean_official(raw: DataFrame, drop_incomplete: bool = True) -> DataFrame:
     """Canonical official values; rows without a zone or a price per square metre are dropped."""
-    df = rename_official(raw)
-    missing = [f for f in OFFICIAL.fields if f.name not in df.columns]
-    df = df.withColumns({f.name: F.lit(None).cast("string") for f in missing})
+    df = _with_columns(rename_official(raw), OFFICIAL)
     out = df.select(
         F.col("prefecture"),
         F.col("zone_admin"),

@@ -14,11 +14,6 @@ from loticote.functions.text import normalize_text, title_case
 from loticote.operators.statistics import zone_mean
 from loticote.operators.summary import grouped_summary
 
-TABLE_COLUMNS = (
-    "zone_nom", "zone", "type_bien", "type_offre", "prix_moyen_m2", "prix_median_m2",
-    "nombre_annonces", "ecart_valeur_venale",
-)
-
 
 def apply_filters(
     df: DataFrame,
@@ -62,10 +57,11 @@ def top_zones(stats: DataFrame, n: int = 20, zone: str = "zone") -> DataFrame:
 def market_vs_official(listings: DataFrame, official: DataFrame, n: int = 15) -> DataFrame:
     """Mean asking price against mean official price, zones both tables know, dearest first.
 
-    Both sides are averaged per zone before they meet, so the join sees one row per zone.
+    Both sides are averaged per zone before they meet, so the join sees one row per zone. Official
+    rows without a price do not count.
     """
     market = listings.groupBy("zone").agg(exact_mean(F.col("prix_m2")).alias("prix_marche_m2"))
-    stated = official.groupBy("zone").agg(
+    stated = official.where(F.col("prix_m2_officiel").isNotNull()).groupBy("zone").agg(
         exact_mean(F.col("prix_m2_officiel")).alias("prix_venale_m2")
     )
     return market.join(stated, "zone").orderBy(F.desc("prix_marche_m2"), "zone").limit(n)
@@ -115,7 +111,7 @@ def extreme_listings(
 
 def zone_table(stats: DataFrame) -> DataFrame:
     """Comparison table, the columns that are there, dearest first."""
-    columns = [c for c in TABLE_COLUMNS if c in stats.columns]
+    columns = [c for c in fixed.TABLE_COLUMNS if c in stats.columns]
     ties = [c for c in columns if c != "prix_moyen_m2"]
     return stats.select(*columns).orderBy(F.desc("prix_moyen_m2"), *ties)
 

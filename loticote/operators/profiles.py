@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,12 +53,9 @@ def top_values(df: DataFrame, col: str, by: str, n: int, name: str = "nb_annonce
     return counts.withColumn("rang", place).where(F.col("rang") <= n)
 
 
-def top_zones_all(
-    frames: Iterable[DataFrame], n: int, max_length: int = fixed.ZONE_MAX_LENGTH
-) -> DataFrame:
+def top_zones_all(df: DataFrame, n: int, max_length: int = fixed.ZONE_MAX_LENGTH) -> DataFrame:
     """The n most listed zones over all sources, unknown and over-long ones left out."""
-    zones = [df.select(normalize_text(F.col("zone")).alias("zone")) for df in frames]
-    known = reduce(DataFrame.unionByName, zones).where(
+    known = df.select(normalize_text(F.col("zone")).alias("zone")).where(
         (F.col("zone") != fixed.PROFILE_UNKNOWN_ZONE) & (F.length("zone") <= max_length)
     )
     counts = count_by(known, ["zone"], "nb_annonces")
@@ -75,16 +71,12 @@ def zones_per_source(df: DataFrame) -> DataFrame:
     return df.groupBy("source").agg(F.count_distinct(zone).alias("nb_zones"))
 
 
-def common_values(frames: Sequence[DataFrame], col: str) -> DataFrame:
-    """Values that occur in every frame: one grouping instead of a join per frame."""
-    tagged = [
-        df.select(normalize_text(F.col(col)).alias(col), F.lit(i).alias("_frame"))
-        for i, df in enumerate(frames)
-    ]
-    seen = reduce(DataFrame.unionByName, tagged).where(F.col(col).isNotNull()).distinct()
-    return seen.groupBy(col).agg(F.count(F.lit(1)).alias("_in")).where(
-        F.col("_in") == len(frames)
-    ).select(col)
+def common_values(df: DataFrame, col: str, by: str) -> DataFrame:
+    """Values that occur with every value of ``by``: one scan and one grouping, no joins."""
+    pairs = df.select(by, normalize_text(F.col(col)).alias(col)).where(F.col(by).isNotNull()).distinct()
+    groups = pairs.agg(F.count_distinct(by)).scalar()
+    seen = pairs.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_in"))
+    return seen.where(F.col("_in") == groups).select(col)
 
 
 def in_band(

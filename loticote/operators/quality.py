@@ -39,13 +39,14 @@ def reject_reason(
     invalid = text.isin(*params.invalid_zones)
     if params.reject_null_zone:
         invalid = zone.isNull() | invalid
+    too_long, no_zone, describes, missing, too_high, too_low = fixed.REASONS
     return (
-        F.when(F.length(zone) > params.zone_max_length, "zone_trop_longue")
-        .when(invalid, "zone_invalide")
-        .when(contains_any(text, params.suspicious_words), "zone_description_lieu")
-        .when(price.isNull() | surface.isNull(), "prix_ou_surface_manquant")
-        .when(per_m2 > params.price_m2_max, "prix_m2_trop_eleve")
-        .when(per_m2 < params.price_m2_min, "prix_m2_trop_bas")
+        F.when(F.length(zone) > params.zone_max_length, too_long)
+        .when(invalid, no_zone)
+        .when(contains_any(text, params.suspicious_words), describes)
+        .when(price.isNull() | surface.isNull(), missing)
+        .when(per_m2 > params.price_m2_max, too_high)
+        .when(per_m2 < params.price_m2_min, too_low)
     )
 
 
@@ -114,10 +115,24 @@ def quality_summary(tagged: DataFrame) -> DataFrame:
         .groupBy("source", "_rejected", *IDENTITY)
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    per_source = groups.groupBy("source").agg(
-        F.count_if(~F.col("_rejected")).alias("_valid"),
-        F.sum(F.when(F.col("_rejected"), F.col("_rows")).otherwise(0)).alias("_reject"),
+    return _summary_of_counts(
+        groups.groupBy("source").agg(
+            F.count_if(~F.col("_rejected")).alias("_valid"),
+            F.sum(F.when(F.col("_rejected"), F.col("_rows")).otherwise(0)).alias("_reject"),
+        )
     )
+
+
+def stored_summary(valid: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The same report from stored valid rows without copies and stored rejects: counts only."""
+    none = F.lit(0).cast("long")
+    kept = valid.groupBy("source").agg(F.count(F.lit(1)).alias("_valid")).withColumn("_reject", none)
+    refused = rejected.groupBy("source").agg(F.count(F.lit(1)).alias("_reject"))
+    counts = kept.unionByName(refused.withColumn("_valid", none)).groupBy("source")
+    return _summary_of_counts(counts.agg(F.sum("_valid").alias("_valid"), F.sum("_reject").alias("_reject")))
+
+
+def _summary_of_counts(per_source: DataFrame) -> DataFrame:
     label = F.when(F.grouping("source") == 1, "TOTAL").otherwise(F.col("source"))
     before = F.sum("_valid") + F.sum("_reject")
     return per_source.rollup("source").agg(

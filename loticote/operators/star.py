@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,8 +118,18 @@ def _skip_reason(refusal: Column) -> Column:
     )
 
 
-def load_listings(listings: DataFrame, zones: DataFrame, sources: DataFrame) -> DataFrame:
-    """Listings that can be loaded, with keys and load-time columns.
+def cut_text(name: str, width: int | None) -> Column:
+    """The text as wide as its table column; ``None`` leaves it whole."""
+    return (F.col(name) if width is None else F.substring(name, 1, width)).alias(name)
+
+
+def tag_load(
+    listings: DataFrame,
+    zones: DataFrame,
+    sources: DataFrame,
+    title_width: int | None = fixed.TITLE_WIDTH,
+) -> DataFrame:
+    """All listings with keys, load-time columns and the reason why one cannot be loaded, or NULL.
 
     A listing and its property are one to one, so both live in one row here: the join between two
     tables of the size of the facts never happens. ``fact_listing`` and ``dim_property`` project
@@ -125,11 +137,10 @@ def load_listings(listings: DataFrame, zones: DataFrame, sources: DataFrame) ->
     which makes the key unique.
     """
     keyed = with_keys(listings, zones, sources)
-    loaded = keyed.where(_skip_reason(_refusal()).isNull())
     identity = [F.col(c) for c in ("source", "titre", "prix", "zone", "surface_m2")]
-    return loaded.select(
+    return keyed.select(
         listing_key(*identity).alias("id"),
-        F.substring("titre", 1, fixed.TITLE_WIDTH).alias("titre"),
+        cut_text("titre", title_width),
         "prix",
         "surface_m2",
         price_per_m2(F.col("prix"), F.col("surface_m2")).alias("prix_m2"),
@@ -142,9 +153,24 @@ def load_listings(listings: DataFrame, zones: DataFrame, sources: DataFrame) ->
         ),
         "id_zone",
         "id_source",
+        "zone",
+        "source",
+        _skip_reason(_refusal()).alias(SKIP_REASON),
     )
 
 
+def split_load(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(loaded listings, skipped ones with their reason); together all that was given."""
+    loaded = tagged.where(F.col(SKIP_REASON).isNull()).drop("zone", "source", SKIP_REASON)
+    skipped = tagged.where(F.col(SKIP_REASON).isNotNull())
+    return loaded, skipped.drop("id", "id_zone", "id_source", "prix_m2")
+
+
+def load_listings(listings: DataFrame, zones: DataFrame, sources: DataFrame) -> DataFrame:
+    """Listings that can be loaded; see ``tag_load`` for those that cannot."""
+    return split_load(tag_load(listings, zones, sources))[0]
+
+
 def fact_listing(loaded: DataFrame) -> DataFrame:
     return loaded.select(
         "id", "titre", "prix", "prix_m2", F.col("id").alias("id_bien"), "id_source"
@@ -172,14 +198,27 @@ def load_skipped(listings: DataFrame, zones: DataFrame, sources: DataFrame) -> D
     return keyed.groupBy(reason).agg(F.sum("_rows").alias("nb_lignes"))
 
 
+def _official_refusal() -> Column:
+    fits = _fits(F.col("prix_m2_officiel"), "decimal(10,2)") & _fits(F.col("surface_m2"), "decimal(10,2)")
+    fits = fits & _fits(F.col("prix"), "decimal(15,2)")
+    return F.when(F.col("zone").isNull(), "zone_inconnue").when(~fits, "valeur_hors_bornes")
+
+
+def split_official(official: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(official values that can be stored, refused ones with the reason)."""
+    tagged = official.withColumn(SKIP_REASON, _official_refusal())
+    stored = tagged.where(F.col(SKIP_REASON).isNull()).drop(SKIP_REASON)
+    return stored, tagged.where(F.col(SKIP_REASON).isNotNull())
+
+
 def fact_official(official: DataFrame, zones: DataFrame, listed: DataFrame) -> DataFrame:
-    """Official values with their zone key.
+    """Official values with their zone key; values that the table cannot hold are left out.
 
     ``listed`` is the dimension before the official zones were added. A zone it has under the
     same name is taken as is; one that differs from a listed zone only in accents resolves to
     that zone, as the accent-insensitive lookup of the stored names does.
     """
-    named = official.withColumn("nom", normalize_text(F.col("zone")))
+    named = split_official(official)[0].withColumn("nom", normalize_text(F.col("zone")))
     exact = listed.select("nom", F.lit(True).alias("_listed"))
     folded = listed.groupBy(fold_text(F.col("nom")).alias("_folded")).agg(
         F.min_by("id", "nom").alias("_near")
@@ -200,13 +239,12 @@ def fact_official(official: DataFrame, zones: DataFrame, listed: DataFrame) -> D
     )
 
 
-def rejects_table(rejected: DataFrame) -> DataFrame:
+def rejects_table(
+    rejected: DataFrame, widths: Mapping[str, int | None] = fixed.REJECT_WIDTHS
+) -> DataFrame:
     """Rejected rows with the text widths of the table; missing text stays NULL."""
     order = ["titre", "zone", "prix", "surface_m2", "type_bien", "type_offre", "source"]
-    cut = {c: F.substring(c, 1, width) for c, width in fixed.REJECT_WIDTHS.items()}
-    return rejected.select(
-        *[cut.get(c, F.col(c)).alias(c) for c in [*order, "raison_rejet"]]
-    )
+    return rejected.select(*[cut_text(c, widths.get(c)) for c in [*order, "raison_rejet"]])
 
 
 def _priced(df: DataFrame) -> DataFrame:

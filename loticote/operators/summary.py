@@ -3,7 +3,9 @@
 Spark's exact percentile keeps every distinct value of a group in the memory of one task. Here a
 first pass counts rows per group and *cell* (a narrow range of values), which partial aggregation
 shrinks before the shuffle. The counts tell which cells hold the wanted ranks. A second pass
-looks only at the rows of these cells, and orders the distinct values inside each of them.
+looks only at the rows of these cells and counts their distinct values. Cells are always cut once
+more, into thousands of parts: the counts of the parts tell where the ranks are, and only the
+distinct values of these parts are ordered, so values that crowd in one cell do not meet in one task.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from loticote.session import materialize
 
 # Neighbouring cells differ by about three percent: a few hundred cells cover any price range.
 CELLS_PER_E_FOLD = 32
+PARTS_PER_CELL = 4096
 
 
 @dataclass(frozen=True)
@@ -47,6 +50,12 @@ def value_cell(value: Column) -> Column:
     return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * CELLS_PER_E_FOLD)).cast("int")
 
 
+def value_part(value: Column) -> Column:
+    """Part of its cell, growing with the value like the cell number."""
+    place = F.signum(value) * F.log1p(F.abs(value)) * CELLS_PER_E_FOLD
+    return F.floor((place - F.col("_cell")) * PARTS_PER_CELL).cast("int")
+
+
 def _ranks(share: float) -> tuple[Column, Column]:
     position = F.lit(share) * (F.col("_total") - 1)
     return F.floor(position), F.ceil(position)
@@ -81,13 +90,17 @@ def grouped_summary(
         "value-cells",
     )
 
+    # The totals of a group go along with its cells, so they need no join.
     merged = {"_total": F.sum("_rows")} | {k: m.merge(k) for k, m in measures.items()}
     if mean:
         merged["_sum"] = F.sum("_sum")
-    totals = cells.groupBy(*groups).agg(*[c.alias(k) for k, c in merged.items()])
+    in_group = Window.partitionBy(*groups)
+    upto = F.sum("_rows").over(in_group.orderBy("_cell")).alias("_upto")
+    totals = [c.over(in_group).alias(f"_of_{k}") for k, c in merged.items()]
+    placed = cells.select(*groups, "_cell", "_rows", upto, *totals)
+    placed = placed.select(*groups, "_cell", "_rows", "_upto", *[F.col(f"_of_{k}").alias(k) for k in merged])
 
-    found = _at_ranks(rows, cells, groups, value, quantiles)
-    out = totals.join(found, groups)
+    out = _at_ranks(rows, placed, groups, list(merged), value, quantiles)
     columns = [F.col(c) for c in by]
     columns += [F.col(name) for name in quantiles]
     if count:
@@ -99,36 +112,37 @@ def grouped_summary(
 
 def _at_ranks(
     rows: DataFrame,
-    cells: DataFrame,
+    placed: DataFrame,
     groups: list[str],
+    totals: list[str],
     value: str,
     quantiles: Mapping[str, float],
 ) -> DataFrame:
-    in_group = Window.partitionBy(*groups)
-    placed = cells.select(
-        *groups,
-        "_cell",
-        F.sum("_rows").over(in_group.orderBy("_cell")).alias("_upto"),
-        F.sum("_rows").over(in_group).alias("_total"),
-        "_rows",
-    ).withColumn("_before", F.col("_upto") - F.col("_rows"))
-
+    """Values at the ranks of each group. A group's cells have its ``totals`` on every row."""
     ranks = {name: _ranks(share) for name, share in quantiles.items()}
     wanted = [rank for pair in ranks.values() for rank in pair]
-    hit = reduce(
-        Column.__or__, [(r >= F.col("_before")) & (r < F.col("_upto")) for r in wanted]
-    )
-    cells_hit = placed.where(hit).select(*groups, "_cell", "_before", "_total")
+
+    def hit(before: Column, upto: Column) -> Column:
+        return reduce(Column.__or__, [(r >= before) & (r < upto) for r in wanted])
+
+    placed = placed.withColumn("_before", F.col("_upto") - F.col("_rows"))
+    cells_hit = placed.where(hit(F.col("_before"), F.col("_upto"))).select(*groups, "_cell", "_before", *totals)
 
     # Rows of the wanted cells only, equal values counted together before the shuffle.
+    cell = [*groups, "_cell"]
     values = (
-        rows.select(*groups, "_cell", value)
-        .join(cells_hit, [*groups, "_cell"])
-        .groupBy(*groups, "_cell", "_before", "_total", value)
+        rows.select(*cell, value, value_part(F.col(value)).alias("_part"))
+        .join(cells_hit.select(*cell), cell)
+        .groupBy(*cell, "_part", value)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    in_cell = Window.partitionBy(*groups, "_cell").orderBy(value)
-    upto = F.col("_before") + F.sum("_n").over(in_cell)
+    parts = values.groupBy(*cell, "_part").agg(F.sum("_n").alias("_rows")).join(cells_hit, cell)
+    upto = F.col("_before") + F.sum("_rows").over(Window.partitionBy(*cell).orderBy("_part"))
+    parts = parts.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_rows"))
+    parts = parts.where(hit(F.col("_before"), F.col("_upto"))).drop("_rows", "_upto")
+    values = values.join(parts, [*cell, "_part"])
+    in_part = Window.partitionBy(*cell, "_part").orderBy(value)
+    upto = F.col("_before") + F.sum("_n").over(in_part)
     ordered = values.withColumn("_upto", upto).withColumn("_from", F.col("_upto") - F.col("_n"))
 
     ends = []
@@ -136,13 +150,13 @@ def _at_ranks(
         for end, rank in (("low", low), ("high", high)):
             here = (rank >= F.col("_from")) & (rank < F.col("_upto"))
             ends.append(F.max(F.when(here, F.col(value))).alias(f"_{name}_{end}"))
-    picked = ordered.groupBy(*groups, "_total").agg(*ends)
+    picked = ordered.groupBy(*groups, *totals).agg(*ends)
 
     points = [
         _between(F.col(f"_{name}_low"), F.col(f"_{name}_high"), share).alias(name)
         for name, share in quantiles.items()
     ]
-    return picked.select(*groups, *points)
+    return picked.select(*groups, *totals, *points)
 
 
 def _between(low: Column, high: Column, share: float) -> Column:

@@ -11,16 +11,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from loticote.functions import fixed_values as fixed
 from loticote.operators import cleaning, dashboard, index, profiles, quality, star, statistics
 from loticote.operators.quality import REASON, QualityParams
 from loticote.operators.summary import trim_quantile
-from loticote.session import tune
+from loticote.session import clear_scratch, tune
 from loticote.sources import readers, writers
-from loticote.sources.schemas import LISTING, RAW_LISTING
+from loticote.sources.schemas import LISTING, RAW_LISTING, RESULT_TABLES
 
-STATS_KEYS = ("id_zone", "zone", "type_bien", "type_offre")
+INDEX_KEYS = ("id_zone", "type_bien", "type_offre")
+STATS_KEYS = ("zone", *INDEX_KEYS)
 
 
 def ingest_sources(
@@ -48,11 +50,13 @@ def clean(
         readers.read_if_present(spark, f"{raw}/{s}.csv", s, RAW_LISTING, multiline) for s in sources
     ]
     tagged = readers.union_sources([cleaning.tag_listings(f, params) for f in frames])
-    writers.write_rejects(tagged, f"{out}/etiquetees")
+    # Rows of a reason meet in a few tasks first, so that a folder gets a few files and not one per task.
+    writers.write_rejects(tagged.hint("rebalance", REASON), f"{out}/etiquetees")
     stored = spark.read.schema(tagged.schema).parquet(f"{out}/etiquetees")
 
     valid, rejected = quality.split(stored)
-    writers.write_parquet(quality.drop_duplicates(valid), f"{out}/annonces_parquet", ["source"])
+    kept = quality.drop_duplicates(valid).hint("rebalance", "source")
+    writers.write_parquet(kept, f"{out}/annonces_parquet", ["source"])
     writers.write_csv(read_valid(spark, out), f"{out}/annonces")
     writers.write_csv(rejected, f"{out}/annonces_rejetees")
 
@@ -61,30 +65,42 @@ def clean(
     )
     writers.write_parquet(official, f"{out}/venales_parquet")
     writers.write_csv(official, f"{out}/venales")
-    return quality.quality_summary(stored)
+    return quality.stored_summary(read_valid(spark, out), rejected)
 
 
 def read_valid(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(LISTING).parquet(f"{out}/annonces_parquet")
 
 
+def read_loaded(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+    """(loaded listings, skipped ones with their reason) as the load has stored them."""
+    return star.split_load(spark.read.parquet(f"{out}/etoile/chargement"))
+
+
 def model(spark: SparkSession, out: str) -> DataFrame:
-    """Build the star schema from the clean tables; returns stored rows per table."""
+    """Build the star schema from the clean tables; returns stored rows per table.
+
+    Listings and official values that cannot be loaded are stored with their reason and counted
+    as ``annonces_ignorees`` and ``valeurs_ignorees``: loaded and skipped rows are all rows given.
+    Results that were computed from an earlier star are removed.
+    """
     listings = read_valid(spark, out)
     official = spark.read.parquet(f"{out}/venales_parquet")
     rejected = spark.read.parquet(f"{out}/etiquetees").where(F.col(REASON).isNotNull())
     root = f"{out}/etoile"
 
     writers.refresh_star(spark, {"source_donnees": star.dim_source(listings)}, root)
-    listed = star.dim_zone(listings)
+    writers.write_parquet(star.dim_zone(listings), f"{root}/zones_annonces")
+    listed = spark.read.parquet(f"{root}/zones_annonces")
     writers.refresh_star(spark, {"zone_geographique": star.upsert_zones(listed, official)}, root)
     sources = writers.read_star_table(spark, root, "source_donnees")
     zones = writers.read_star_table(spark, root, "zone_geographique")
 
-    writers.write_parquet(
-        star.load_listings(listings, zones, sources), f"{root}/annonces_chargees"
-    )
-    loaded = spark.read.parquet(f"{root}/annonces_chargees")
+    tagged = star.tag_load(listings, zones, sources)
+    writers.write_parquet(tagged.hint("rebalance", star.SKIP_REASON), f"{root}/chargement", [star.SKIP_REASON])
+    loaded, skipped = read_loaded(spark, out)
+    refused = star.split_official(official)[1]
+    writers.write_parquet(refused, f"{root}/valeurs_ignorees")
     facts = {
         "annonce": star.fact_listing(loaded),
         "bien_immobilier": star.dim_property(loaded),
@@ -92,13 +108,22 @@ def model(spark: SparkSession, out: str) -> DataFrame:
         "annonces_rejetees": star.rejects_table(rejected),
     }
     writers.refresh_star(spark, facts, root)
-    return writers.star_counts(spark, ["source_donnees", "zone_geographique", *facts], root)
+    counts = writers.star_counts(
+        spark, ["source_donnees", "zone_geographique", *facts, *RESULT_TABLES], root
+    )
+    for name, df in (
+        ("annonces_ignorees", skipped),
+        ("valeurs_ignorees", spark.read.schema(refused.schema).parquet(f"{root}/valeurs_ignorees")),
+    ):
+        counted = df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("nb_lignes"))
+        counts = counts.unionByName(counted)
+    return counts
 
 
 def read_views(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """The views the analysis works on, from the stored star."""
     root = f"{out}/etoile"
-    loaded = spark.read.parquet(f"{root}/annonces_chargees")
+    loaded = read_loaded(spark, out)[0]
     zones = writers.read_star_table(spark, root, "zone_geographique")
     sources = writers.read_star_table(spark, root, "source_donnees")
     official = writers.read_star_table(spark, root, "valeur_venale")
@@ -110,23 +135,42 @@ def read_views(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     }
 
 
-def measure(spark: SparkSession, out: str) -> None:
-    """Store statistics with their gap to official values, then the index built on them."""
+def measure(
+    spark: SparkSession,
+    out: str,
+    per_official_row: bool = False,
+    index_keys: Sequence[str] = INDEX_KEYS,
+) -> None:
+    """Store statistics with their gap to official values, then the index built on them.
+
+    One row per statistic and one per index value. ``per_official_row`` stores a statistic once
+    for every official row of its zone, and ``index_keys`` without the offer compares every offer
+    of a zone and type with every other; both multiply rows.
+    """
     views = read_views(spark, out)
     root = f"{out}/etoile"
     stats = statistics.zone_stats(views["zones"], STATS_KEYS)
+    official = views["official"].select("zone", "prix_m2_officiel")
+    gaps = statistics.official_gap(stats, official, aggregate=not per_official_row)
     writers.write_periods(
-        statistics.official_gap(stats, views["official"].select("zone", "prix_m2_officiel")),
-        f"{root}/statistiques_zone",
+        writers.conform(gaps, "statistiques_zone", strict=False), f"{root}/statistiques_zone"
     )
-    stored = spark.read.parquet(f"{root}/statistiques_zone")
-    prices = index.price_index(stored, ("id_zone", "type_bien"))
+    stored = writers.read_star_table(spark, root, "statistiques_zone")
+    prices = index.storable_index(index.price_index(stored, index_keys))
     writers.write_periods(
-        writers.conform(index.storable_index(prices), "indice_immobilier"),
-        f"{root}/indice_immobilier",
+        writers.conform(prices, "indice_immobilier", strict=False), f"{root}/indice_immobilier"
     )
 
 
+def read_statistics(spark: SparkSession, out: str) -> DataFrame:
+    """Stored statistics with the names of their zones, numbers as the dashboard computes them."""
+    root = f"{out}/etoile"
+    zones = writers.read_star_table(spark, root, "zone_geographique")
+    stats = star.stats_view(writers.read_star_table(spark, root, "statistiques_zone"), zones)
+    decimals = [f.name for f in stats.schema.fields if isinstance(f.dataType, DecimalType)]
+    return stats.withColumns({c: F.col(c).cast("double") for c in decimals}).withColumnRenamed("zone_nom", "zone")
+
+
 def dashboard_tables(
     spark: SparkSession,
     out: str,
@@ -136,10 +180,9 @@ def dashboard_tables(
 ) -> dict[str, DataFrame]:
     """Every table of the dashboard under the chosen filters."""
     views = read_views(spark, out)
-    stats = spark.read.parquet(f"{out}/etoile/statistiques_zone")
-    stats = dashboard.apply_filters(stats, zone, types, offer)
+    stats = dashboard.apply_filters(read_statistics(spark, out), zone, types, offer)
     listings = dashboard.apply_filters(views["listings"], zone, types, offer)
-    by_zone = statistics.index_by_type_zone(views["listings"])
+    by_zone = statistics.index_by_type_zone(views["zones"])
     by_zone = dashboard.apply_filters(by_zone, zone, types, offer, zone_column="zone_nom")
     return {
         "kpis": dashboard.kpis(stats, listings),
@@ -157,6 +200,20 @@ def dashboard_tables(
     }
 
 
+def export_filtered(
+    spark: SparkSession,
+    out: str,
+    to: str,
+    zone: str | None = None,
+    types: Sequence[str] = (),
+    offer: str | None = None,
+) -> None:
+    """Write the chosen statistics and listings as CSV folders."""
+    frames = {"statistiques": read_statistics(spark, out), "annonces": read_views(spark, out)["listings"]}
+    for name, df in frames.items():
+        writers.write_csv(dashboard.apply_filters(df, zone, types, offer), f"{to}/{name}")
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("raw", help="folder with one CSV file (or folder) per source")
@@ -167,6 +224,7 @@ def main() -> None:
     clean(spark, args.raw, args.out, multiline=not args.single_line).show(truncate=False)
     model(spark, args.out).show(truncate=False)
     measure(spark, args.out)
+    clear_scratch(spark)
     spark.stop()
 
 

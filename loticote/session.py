@@ -20,7 +20,6 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 _local_scratch: dict[str, str] = {}
@@ -63,6 +62,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; their results must be stored by then."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/{context.applicationId}")
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a table to the shared folder and read it back.
 

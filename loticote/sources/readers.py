@@ -6,6 +6,7 @@ import logging
 import re
 from collections.abc import Iterable
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,40 +20,55 @@ log = logging.getLogger(__name__)
 SOURCE_HEADER = re.compile(r"^source\d*$", re.IGNORECASE)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Share a scanned table out when it arrives in fewer partitions than there are cores.
+def _csv_text(spark: SparkSession, path: str | list[str], multiline: bool) -> DataFrame:
+    return (
+        spark.read.option("header", True)
+        .option("multiLine", multiline)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("encoding", "UTF-8")
+        .csv(path)
+    )
+
+
+def files_by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """The files of a folder or list, grouped by their header line.
 
-    That happens with a few large files that cannot be split: CSV with quoted line breaks, or
-    Parquet with one row group. A table in many files passes through without a shuffle. With
-    key columns rows go by their hash, which saves the sort that makes a round robin repeatable.
+    Spark looks at the first line of each file only; some files are looked at side by side.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    files = sorted(_csv_text(spark, path, False).inputFiles())
+    if len(files) < 2:
+        return [files]
+    with ThreadPool(16) as pool:
+        headers = pool.map(lambda f: tuple(_csv_text(spark, f, False).columns), files)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for header, file in zip(headers, files):
+        groups.setdefault(header, []).append(file)
+    return list(groups.values())
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
     """CSV with a header, every column as text; a folder of part files is read as one table.
 
-    Nothing is inferred: inference costs a pass over the files and turns large prices into
+    Columns are matched by name: files with another order of columns are read under their own
+    header, and a column that a file lacks is NULL in its rows. Files without any content add
+    nothing. Nothing is inferred: inference costs a pass over the files and turns large prices into
     ``1.2E7``. An empty field is NULL. Quoted line breaks need ``multiline``, which parses each
     file in one task, so large inputs should come as many files or, when free of line breaks,
     with ``multiline=False``, which splits them.
     """
-    return (
-        spark.read.option("header", True)
-        .option("multiLine", multiline)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
+    groups = files_by_header(spark, path)
+    if len(groups) == 1:
+        return _csv_text(spark, path, multiline)
+    return union_sources([_csv_text(spark, group, multiline) for group in groups])
 
 
 def read_listings(
     spark: SparkSession, path: str | list[str], source: str, multiline: bool = True
 ) -> DataFrame:
-    """Raw listings of one source."""
-    raw = spread(read_csv_text(spark, path, multiline))
+    """Raw listings of one source; rows of files that cannot be split are shared out by size."""
+    raw = read_csv_text(spark, path, multiline)
+    raw = raw.hint("rebalance") if multiline else raw
     named = raw.drop(*[name for name in raw.columns if SOURCE_HEADER.match(name)])
     return named.withColumn("source", F.lit(source))
 

@@ -50,8 +50,8 @@ STAR = {
         ecart_valeur_venale=RATE,
     ),
     "indice_immobilier": schema(
-        id_zone=KEY, type_bien=TEXT, periode=TEXT, prix_moyen_m2=RATE, indice_valeur=INDEX,
-        tendance=TEXT,
+        id_zone=KEY, type_bien=TEXT, type_offre=TEXT, periode=TEXT, prix_moyen_m2=RATE,
+        indice_valeur=INDEX, tendance=TEXT,
     ),
     "valeur_venale": schema(
         id_zone=KEY, prix_m2_officiel=RATE, surface_m2=RATE, valeur_totale=AMOUNT
@@ -61,3 +61,6 @@ STAR = {
         source=TEXT, raison_rejet=TEXT,
     ),
 }
+
+# Result tables have one folder per period; a refresh of the star leaves them empty.
+RESULT_TABLES = ("statistiques_zone", "indice_immobilier")

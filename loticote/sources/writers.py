@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loticote.sources.schemas import STAR
+from loticote.sources.schemas import RESULT_TABLES, STAR
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Overwrite a CSV folder, UTF-8 with header; text reads back as it was written."""
+    """Overwrite a CSV folder, UTF-8 with header; text reads back as written, empty text as NULL."""
     (
         df.write.mode("overwrite")
         .option("header", True)
@@ -48,22 +48,31 @@ def write_periods(df: DataFrame, path: str) -> None:
     )
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Columns and types of a star table; columns nothing fills are NULL."""
+def conform(df: DataFrame, table: str, strict: bool = True) -> DataFrame:
+    """Columns and types of a star table; columns nothing fills are NULL.
+
+    Without ``strict`` a number that its column cannot hold becomes NULL instead of ending the job.
+    """
+    cast = Column.cast if strict else Column.try_cast
     columns = [
-        (F.col(field.name) if field.name in df.columns else F.lit(None))
-        .cast(field.dataType)
-        .alias(field.name)
+        cast(F.col(field.name) if field.name in df.columns else F.lit(None), field.dataType).alias(field.name)
         for field in STAR[table].fields
     ]
     return df.select(*columns)
 
 
 def refresh_star(spark: SparkSession, tables: Mapping[str, DataFrame], root: str) -> DataFrame:
-    """Replace every star table under ``root``; returns (table_name, nb_lignes) as stored."""
+    """Replace every star table under ``root``; returns (table_name, nb_lignes) as stored.
+
+    The result tables are replaced as well: what was computed from the old star goes, unless new
+    rows are given.
+    """
     for name, df in tables.items():
-        write_parquet(conform(df, name), f"{root}/{name}")
-    return star_counts(spark, list(tables), root)
+        write_parquet(conform(df, name), f"{root}/{name}", ["periode"] if name in RESULT_TABLES else [])
+    stale = [name for name in RESULT_TABLES if name not in tables]
+    for name in stale:
+        write_parquet(spark.createDataFrame([], STAR[name]), f"{root}/{name}", ["periode"])
+    return star_counts(spark, [*tables, *stale], root)
 
 
 def star_counts(spark: SparkSession, names: Sequence[str], root: str) -> DataFrame:

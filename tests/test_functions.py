@@ -82,7 +82,22 @@ def test_source_names(values):
 def test_whitespace_of_every_kind_is_trimmed(values):
     inputs = ["\t Bè \n", "\xa0be ", "  ", None]
     assert values("string", inputs, text.normalize_text) == ["bè", "be", "", None]
-    assert values("string", inputs, text.fold_text) == ["be", "be", "", None]
+
+
+def test_folded_texts_are_one_group(spark):
+    spellings = ["Bè", "be ", "BE", "b\u00e9", "be\u0301", "bê"]
+    df = spark.createDataFrame([(s,) for s in [*spellings, "bo"]], "x string")
+    groups = df.groupBy(text.fold_text(F.col("x")).alias("k")).count()
+    assert sorted(r["count"] for r in groups.collect()) == [1, len(spellings)]
+
+
+def test_rooms_with_blanks_and_signs(values):
+    assert values("string", [" 3 ", "\t4.0", "-2", "1.2.3", None], numbers.parse_rooms) == [3, 4, None, None, None]
+
+    def filled(c):
+        return numbers.fill_rooms(c, F.lit("2 chambres"))
+
+    assert values("string", [" 3 ", "-2", "3.7", "1.2.3", "Non", None], filled) == [3, -2, 3, 2, 2, 2]
 
 
 def test_words_are_literal(values):

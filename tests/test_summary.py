@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from loticote.operators import profiles, summary
@@ -90,6 +91,18 @@ def test_shares_add_up(spark):
 
 
 def test_common_values(spark):
-    frames = [spark.createDataFrame([(z,) for z in zs], "zone string")
-              for zs in (["Be", "lome", None], [" be", "agoe", None], ["be", "be", "x"])]
-    assert [r.zone for r in profiles.common_values(frames, "zone").collect()] == ["be"]
+    groups = {"a": ["Be", "lome", None], "b": [" be", "agoe", None], "c": ["be", "be", "x"], None: ["lome"]}
+    df = spark.createDataFrame([(s, z) for s, zs in groups.items() for z in zs], "source string, zone string")
+    assert [r.zone for r in profiles.common_values(df, "zone", "source").collect()] == ["be"]
+
+
+def test_many_distinct_values_in_one_cell(spark):
+    """Values that lie closer together than a cell is wide are split again before they are ordered."""
+    data = [1000 + i / 50_000 for i in range(400_000)]
+    df = spark.range(400_000).selectExpr("'a' AS g", "1000 + id / 50000 AS x")
+    assert df.select(summary.value_cell(F.col("x"))).distinct().count() == 1
+    got = grouped_summary(df, ["g"], "x", {"m": 0.5, "p": 0.95}).first()
+    assert (got.m, got.p) == pytest.approx((np.median(data), np.quantile(data, 0.95)), rel=1e-12)
+    cells = df.withColumn("_cell", summary.value_cell(F.col("x")))
+    sizes = cells.groupBy(summary.value_part(F.col("x"))).count().agg(F.max("count")).first()[0]
+    assert sizes < 40_000
