@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,17 @@ SUB_BATCH_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
+    """Batch size, and the folder of this package for Python workers that start elsewhere.
+
+    On a cluster the package has to be installed or sent with the job (``--py-files``); in local mode
+    the workers then find it from any working directory.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    environment = spark.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in [root, *paths] if p)
     return spark
 
 

@@ -118,9 +118,34 @@ def op1_qgram_leaks(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
-@query("op8_shingle_join")
+SHINGLE_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
+held AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+  FROM held a JOIN held b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
+reached AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x)
+SELECT sizes.doc_id, n AS n_shingles, least(sizes.doc_id, coalesce(least_y, sizes.doc_id)) AS component_id
+FROM sizes LEFT JOIN (SELECT x, min(y) AS least_y FROM reached GROUP BY x) ON x = sizes.doc_id
+"""
+
+
+@query("op8_shingle_join", SHINGLE_SQL)
 def op8_shingle_join(spark: SparkSession, sf: str) -> DataFrame:
-    return shingles.similar_documents(table(spark, sf, "documents"))
+    found = shingles.similar_documents(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @query("op4_context_mixing")
@@ -128,7 +153,32 @@ def op4_context_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.score_texts(table(spark, sf, "documents"))
 
 
-@query("op10_prefix_free_repeats")
+# Bytes are pairs of hexadecimal digits, so that a window is a substring.
+REPEAT_SQL = """
+WITH hexed AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+sized AS (SELECT doc_id, h, CAST(length(h) // 2 AS BIGINT) AS n FROM hexed),
+starts AS (SELECT doc_id, h, unnest(range(0, n - 199)) AS i FROM sized WHERE n >= 200),
+windows AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS d FROM starts),
+again AS (SELECT doc_id, i FROM windows WHERE d IN (SELECT d FROM windows GROUP BY d HAVING count(*) > 1)),
+fresh AS (
+  SELECT *, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 1 ELSE 0 END AS f FROM again),
+grouped AS (SELECT doc_id, i, sum(f) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM fresh),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM grouped GROUP BY doc_id, g),
+gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y FROM spans
+  UNION ALL SELECT doc_id, max(b), NULL FROM spans GROUP BY doc_id),
+kept AS (
+  SELECT gaps.doc_id, string_agg(CASE WHEN y IS NULL THEN substr(h, 2 * x + 1)
+    ELSE substr(h, 2 * x + 1, 2 * (y - x)) END, '' ORDER BY x) AS k
+  FROM gaps JOIN sized USING (doc_id) GROUP BY gaps.doc_id),
+counted AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS r, count(*) AS s FROM spans GROUP BY doc_id)
+SELECT sized.doc_id, n AS n_bytes, coalesce(r, 0) AS n_removed, coalesce(s, 0) AS n_spans,
+  sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM sized LEFT JOIN counted USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op10_prefix_free_repeats", REPEAT_SQL)
 def op10_prefix_free_repeats(spark: SparkSession, sf: str) -> DataFrame:
     df = repeats.remove_repeats(table(spark, sf, "documents"), length=200)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
