@@ -433,6 +433,11 @@ def parse_rooms_query(spark: SparkSession, sf: str) -> DataFrame:
     return real_rooms(counts.withColumns({"pieces": parsed, "refuse": refused}))
 
 
+@query("standardize_listings", with_(RAW, STANDARD) + f"SELECT {CANONICAL} FROM standard")
+def standardize_listings(spark: SparkSession, sf: str) -> DataFrame:
+    return real_rooms(cleaning.standardize_listings(v.raw_listings(spark, sf)))
+
+
 RATIO = exact_round("prix / nullif(surface_m2, 0)", 2)
 
 

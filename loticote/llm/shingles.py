@@ -3,8 +3,8 @@
 Sets of similar documents share most of their shingles, so first a fixed part of all shingles (those with a
 small hash) is counted over the corpus; a document with too many shingles that nobody else has cannot be
 similar to any other text. The sets of the others are joined by prefixes: of two sets that are similar
-enough, the first |S| - ceil(t |S|) + k shingles in one common order hold k common ones. Shingles that are rare
-among the prefixes are indexed alone; frequent ones of small sets in combinations of two. Candidates are
+enough, the first |S| - ceil(t |S|) + k shingles in one common order, rare ones first, hold k common ones. Rare
+shingles are indexed alone; frequent ones of small sets in combinations of two. Candidates are
 verified on the whole sets.
 """
 
@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loticote.llm import exchange
-from loticote.llm.common import gathered, runs, utf8
+from loticote.llm.common import runs, sub_batches, utf8
 from loticote.llm.hashing import Pieces, mix
+from loticote.llm.repeats import pack_texts, parts, text_lists
 from loticote.session import materialize
 
 # The part of all shingles that is counted over the corpus, in 1/100.
@@ -85,58 +86,202 @@ def counted_part(sets: np.ndarray) -> np.ndarray:
     return sets < np.uint64(int(COUNTED / 100 * 2**64))
 
 
-def ask(words: int, bits: int, batch_bytes: int):
-    """Sends the counted shingles of every block, those of equal sets once."""
+def ask(words: int, bits: int):
+    """Sends the counted shingles of every block, those of equal sets once.
+
+    A mark of 16 bits goes with each shingle, which depends on it and on its set: a shingle with two marks
+    is in two different sets, one that only copies of a set hold has one mark.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in gathered(batches, "text", batch_bytes):
-            sets, borders = shingle_sets(*utf8(batch.column("text")), words)
+        for batch in sub_batches(batches, "text"):
+            for block, rows in parts(batch):
+                sets, borders = shingle_sets(*utf8(rows.column("text")), words)
+                names = signatures(sets, borders)
+                first = np.zeros(len(names), bool)
+                first[np.unique(np.array(names, object), return_index=True)[1]] = True
+                able = counted_part(sets) & np.repeat(first, np.diff(borders))
+                salt = np.repeat(np.array([int.from_bytes(n[:8], "little") for n in names], np.uint64), np.diff(borders))
+                keys, marks = sets[able], (mix(sets[able] ^ salt[able]) >> np.uint64(48)).astype(np.uint16)
+                order = np.lexsort((marks, keys))
+                keys, marks = keys[order], marks[order]
+                keep = np.ones(len(keys), bool)
+                keep[1:] = (keys[1:] != keys[:-1]) | (marks[1:] != marks[:-1])
+                keys, marks = keys[keep], marks[keep]
+                keep = np.ones(len(keys), bool)
+                keep[2:] = keys[2:] != keys[:-2]  # two marks say all
+                yield bucketed(block, keys[keep], marks[keep], bits)
+
+    return run
+
+
+def bucketed(block: int, keys: np.ndarray, values: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Sorted keys and their values by the highest bits of the keys."""
+    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    used, first = np.unique(bucket, return_index=True)
+    last = np.append(first[1:], len(keys))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(used.astype(np.int32)),
+            pa.array(np.full(len(used), block, np.int64)),
+            pa.array([keys[a:b].tobytes() for a, b in zip(first, last)], pa.binary()),
+            pa.array([values[a:b].tobytes() for a, b in zip(first, last)], pa.binary()),
+        ],
+        names=["bucket", "block", "keys", "values"],
+    )
+
+
+BUCKETED = "bucket int, block long, keys binary, values binary"
+ANSWERED = "block long, keys binary, values binary"
+
+
+def received(table: pa.Table, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """Keys and values of a bucket, the message of each, and the messages' blocks."""
+    keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
+    values = np.concatenate([np.frombuffer(v, kind) for v in table.column("values").to_pylist()])
+    return np.concatenate(keys), values, np.repeat(np.arange(len(keys)), [len(k) for k in keys]), table.column("block").to_pylist()
+
+
+def by_message(of: np.ndarray, blocks: list[int], keys: np.ndarray, values: np.ndarray | None = None) -> pa.Table:
+    out = []
+    for rows in np.split(np.arange(len(of)), np.flatnonzero(np.diff(of)) + 1) if len(of) else []:
+        told = b"" if values is None else values[rows].tobytes()
+        out.append((blocks[of[rows[0]]], keys[rows].tobytes(), told))
+    columns = list(zip(*out)) or [(), (), ()]
+    return pa.table({
+        "block": pa.array(columns[0], pa.int64()), "keys": pa.array(columns[1], pa.binary()),
+        "values": pa.array(columns[2], pa.binary()),
+    })
+
+
+def answer_shared(table: pa.Table) -> pa.Table:
+    """The shingles of each block that two different sets hold, as their lowest 32 bits: another shingle
+    of a block with the same bits only keeps a document longer than needed."""
+    keys, marks, of, blocks = received(table, np.uint16)
+    order = np.argsort(keys, kind="stable")
+    first = np.concatenate(([True], keys[order][1:] != keys[order][:-1]))
+    starts = np.flatnonzero(first)
+    low, high = np.minimum.reduceat(marks[order], starts), np.maximum.reduceat(marks[order], starts)
+    shared = np.empty(len(keys), bool)
+    shared[order] = (low != high)[np.cumsum(first) - 1]
+    return by_message(of[shared], blocks, keys[shared].astype(np.uint32))
+
+
+def active_sets(words: int, percent: int):
+    """One row per document of a block; of those that can be similar to another, one of each set has it."""
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        known = np.unique(np.frombuffer(b"".join(answers.column("keys").to_pylist()), np.uint32)).astype(np.uint64)
+        seen: set[bytes] = set()
+        out = [SET_ROWS.empty_table()]
+        for ids, data, text_borders in text_lists(texts):
+            sets, borders = shingle_sets(data, text_borders, words)
+            size = np.diff(borders)
             names = signatures(sets, borders)
-            blocks = np.array(batch.column("block").to_pylist())
-            keep, seen = np.zeros(len(names), bool), set()
+            counted = counted_part(sets)
+            again = np.zeros(len(sets), bool)
+            again[counted] = exchange.among(known, sets[counted] & np.uint64(0xFFFFFFFF))
+            sums = lambda flags: np.concatenate(([0], np.cumsum(flags)))
+            asked = sums(counted)[borders[1:]] - sums(counted)[borders[:-1]]
+            shared = sums(again)[borders[1:]] - sums(again)[borders[:-1]]
+            able = (size > 0) & (shared >= asked - spare(size, percent) - MARK_SLACK)
+            lists = []
             for i, name in enumerate(names):
-                if (blocks[i], name) not in seen:
-                    seen.add((blocks[i], name))
-                    keep[i] = True
-            rows = np.repeat(np.arange(len(names)), np.diff(borders))
-            able = counted_part(sets) & keep[rows]
-            for block in np.unique(blocks):
-                yield exchange.messages(int(block), sets[able & (blocks[rows] == block)], bits)
+                chosen = able[i] and name not in seen
+                if chosen:
+                    seen.add(name)
+                lists.append(sets[borders[i] : borders[i + 1]].view(np.int64) if chosen else None)
+            out.append(pa.table(
+                [pa.array(ids, pa.int64()), pa.array(size.astype(np.int64)), pa.array(names, pa.binary()),
+                 pa.array(lists, pa.list_(pa.int64()))],
+                schema=SET_ROWS,
+            ))
+        return pa.concat_tables(out)
 
     return run
 
 
-def active_sets(words: int, percent: int):
-    """One row per document of a block; documents that can be similar to another come with their sets."""
+SET_ROWS = pa.schema([
+    ("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("shingles", pa.list_(pa.int64()))
+])
+# Two sets have the same mark for one of 65 536 of their common shingles; so many are forgiven.
+MARK_SLACK = 4
+
 
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        column = docs.column("text").combine_chunks() if docs.num_rows else pa.array([], pa.string())
-        sets, borders = shingle_sets(*utf8(column), words)
+def spare(size: np.ndarray, percent: int) -> np.ndarray:
+    """|S| - ceil(t |S|): so many shingles of a set can be missing in a similar one."""
+    return size + (-percent * size) // 100
+
+
+def flat_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    borders = column.offsets.to_numpy().astype(np.int64)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), borders - borders[0]
+
+
+def ask_frequency(bits: int):
+    """Sends how many of a block's distinct sets hold each shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, rows in parts(batch):
+                keys, counts = np.unique(flat_sets(rows.column("shingles"))[0], return_counts=True)
+                yield bucketed(block, keys, counts.astype(np.uint16), bits)
+
+    return run
+
+
+def answer_frequency(table: pa.Table) -> pa.Table:
+    """To each block its shingles that several sets hold, with their number (65 535 stands for more)."""
+    keys, counts, of, blocks = received(table, np.uint16)
+    _, where = np.unique(keys, return_inverse=True)
+    held = np.bincount(where, weights=counts)[where]
+    some = held > 1
+    return by_message(of[some], blocks, keys[some], np.minimum(held[some], 65_535).astype(np.uint16))
+
+
+def prefix_rows(percent: int):
+    """Sets that can still be similar to another: their shared shingles, and their prefix with frequencies.
+
+    The common order is by frequency, then by hash, so prefixes hold the rarest shingles. A set with more
+    shingles of its own than can be missing is done.
+    """
+
+    def run(sets: pa.Table, answers: pa.Table) -> pa.Table:
+        known = np.frombuffer(b"".join(answers.column("keys").to_pylist()), np.uint64)
+        counts = np.frombuffer(b"".join(answers.column("values").to_pylist()), np.uint16)
+        known, first = np.unique(known, return_index=True)
+        counts = counts[first]
+        keys, borders = flat_sets(sets.column("shingles"))
+        held = np.ones(len(keys), np.int64)
+        here = exchange.among(known, keys)
+        held[here] = counts[np.searchsorted(known, keys[here])] if len(known) else 1
         size = np.diff(borders)
-        counted = counted_part(sets)
-        again = np.zeros(len(sets), bool)
-        again[counted] = exchange.among(exchange.all_keys(answers), sets[counted])
-        sums = lambda flags: np.concatenate(([0], np.cumsum(flags)))
-        asked = sums(counted)[borders[1:]] - sums(counted)[borders[:-1]]
-        shared = sums(again)[borders[1:]] - sums(again)[borders[:-1]]
-        spare = size + (-percent * size) // 100  # |S| - ceil(t |S|): so many can be missing in the other
-        able = (size > 0) & (shared >= asked - spare)
-        signed = sets.view(np.int64)
-        lists = [signed[borders[i] : borders[i + 1]] if able[i] else None for i in range(len(size))]
-        return pa.table(
-            {
-                "doc_id": docs.column("doc_id"),
-                "n": pa.array(size.astype(np.int64)),
-                "sig": pa.array(signatures(sets, borders), pa.binary()),
-                "shingles": pa.array(lists, pa.list_(pa.int64())),
-            }
-        )
+        out: list[tuple] = []
+        for i, (name, n) in enumerate(zip(sets.column("sig").to_pylist(), size.tolist())):
+            k, h = keys[borders[i] : borders[i + 1]], held[borders[i] : borders[i + 1]]
+            common = h > 1
+            missing = int(spare(np.array(n), percent))
+            own = n - int(common.sum())
+            if own > missing:
+                continue
+            # One longer than one common shingle needs, so that similar sets share two; own ones are the first of it.
+            order = np.lexsort((k, h))[own : missing + 2]
+            out.append((name, n, k[common].view(np.int64), k[order].view(np.int64), h[order].astype(np.int32)))
+        columns = list(zip(*out)) or [()] * 5
+        return pa.table({
+            "sig": pa.array(columns[0], pa.binary()), "n": pa.array(columns[1], pa.int64()),
+            "shingles": pa.array(columns[2], pa.list_(pa.int64())), "prefix": pa.array(columns[3], pa.list_(pa.int64())),
+            "held": pa.array(columns[4], pa.list_(pa.int32())),
+        })
 
     return run
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
+    # Shingles that one set alone holds cannot be common and are not among these; n counts all.
     left = sets.select(F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
     right = sets.select(F.col("sig").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
     sizes = sets.select("sig", "n")
@@ -181,21 +326,19 @@ def components(edges: DataFrame) -> DataFrame:
 def index_keys(sets: DataFrame, percent: int, rare: int, small: int) -> DataFrame:
     """(key, sig): the keys under which every set is indexed.
 
-    Prefixes are one shingle longer than one common shingle needs, so similar sets share two. If one of them is
-    rare, they meet under it. Else all are frequent: sets up to ``small`` shingles meet under a combination
-    of two, larger ones under single shingles; sets close below ``small`` use both, as their partners can be
-    on either side.
+    Similar sets share two shingles of their prefixes. If one of them is rare, they meet under it. Else
+    all are frequent: sets up to ``small`` shingles meet under a combination of two, larger ones under
+    single shingles; sets close below ``small`` use both, as their partners can be on either side.
     """
-    spare = F.col("n") - F.ceil(percent * F.col("n") / 100)
-    prefix = F.slice("shingles", F.lit(1), (spare + 2).cast("int"))
-    entries = materialize(sets.select("sig", "n", F.explode(prefix).alias("shingle")), "prefixes")
-    held = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    entries = materialize(entries.join(held, "shingle"), "prefixes-shared")
+    entries = sets.select("sig", "n", F.explode(F.arrays_zip("prefix", "held")).alias("e"))
+    entries = entries.select("sig", "n", F.col("e.prefix").alias("shingle"), F.col("e.held").alias("held"))
     alone = entries.where((F.col("held") <= rare) | (100 * F.col("n") > percent * small)).select(
         F.col("shingle").alias("key"), "sig"
     )
-    frequent = entries.where((F.col("held") > rare) & (F.col("n") <= small))
-    lists = frequent.groupBy("sig").agg(F.sort_array(F.collect_list("shingle")).alias("s"))
+    frequent = F.filter(F.arrays_zip("prefix", "held"), lambda e: e["held"] > rare)
+    lists = sets.where(F.col("n") <= small).select(
+        "sig", F.array_sort(F.transform(frequent, lambda e: e["prefix"])).alias("s")
+    )
     two = F.flatten(
         F.transform("s", lambda x, i: F.transform(F.slice(F.col("s"), i + 2, F.size("s")), lambda y: F.xxhash64(x, y)))
     )
@@ -262,8 +405,7 @@ def similar_documents(
     percent: int = 75,
     rare: int = 16,
     small: int = 64,
-    rounds: int = 3,
-    batch_bytes: int = 4 << 20,
+    rounds: int = 2,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_copies`` of every row.
 
@@ -278,16 +420,28 @@ def similar_documents(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     ).withColumn("block", exchange.block_of())
     bits = exchange.bucket_bits(rows)
-    answers = exchange.repeated(rows.select("block", "text").mapInArrow(ask(words, bits, batch_bytes), exchange.MESSAGE))
+    asked = rows.select("block", "text").mapInArrow(ask(words, bits), BUCKETED)
+    answers = asked.groupBy("bucket").applyInArrow(answer_shared, ANSWERED)
+    lists = rows.mapInArrow(pack_texts, "block long, blob binary")
     known = materialize(
-        rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        lists.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
             active_sets(words, percent), "doc_id long, n long, sig binary, shingles array<long>"
         ),
         "shingle-sets",
     )
     one = Window.partitionBy("sig").orderBy(F.col("doc_id").asc_nulls_last())
     sets = known.where(F.col("shingles").isNotNull()).withColumn("r", F.row_number().over(one)).where("r = 1")
-    sets = materialize(sets.select("sig", "n", "shingles"), "distinct-sets")
+    # The tasks that write the distinct sets are the blocks that ask for frequencies.
+    sets = sets.select("sig", "shingles", F.spark_partition_id().cast("long").alias("block"))
+    sets = materialize(sets, "distinct-sets")
+    asked = sets.select("block", "shingles").mapInArrow(ask_frequency(bits), BUCKETED)
+    answers = asked.groupBy("bucket").applyInArrow(answer_frequency, ANSWERED)
+    sets = materialize(
+        sets.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+            prefix_rows(percent), "sig binary, n long, shingles array<long>, prefix array<long>, held array<int>"
+        ),
+        "prefixes",
+    )
     labels = similar_components(sets, percent, rare, small, rounds)
     classes = known.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies"))
     classes = classes.join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
