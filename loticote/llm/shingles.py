@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loticote.llm import exchange
@@ -241,11 +241,13 @@ def answer_frequency(table: pa.Table) -> pa.Table:
     return by_message(of[some], blocks, keys[some], np.minimum(held[some], 65_535).astype(np.uint16))
 
 
-def prefix_rows(percent: int):
+def prefix_rows(percent: int, rare: int):
     """Sets that can still be similar to another: their shared shingles, and their prefix with frequencies.
 
     The common order is by frequency, then by hash, so prefixes hold the rarest shingles. A set with more
-    shingles of its own than can be missing is done.
+    shingles of its own than can be missing is done. ``reach`` is the size of the largest set that can be
+    similar, as only shared shingles can be common, and ``frequent_reach`` that of the largest one with which
+    no rare shingle is common; ``weight`` is the mean frequency of the shingles.
     """
 
     def run(sets: pa.Table, answers: pa.Table) -> pa.Table:
@@ -268,17 +270,24 @@ def prefix_rows(percent: int):
                 continue
             # One longer than one common shingle needs, so that similar sets share two; own ones are the first of it.
             order = np.lexsort((k, h))[own : missing + 2]
-            out.append((name, n, k[common].view(np.int64), k[order].view(np.int64), h[order].astype(np.int32)))
-        columns = list(zip(*out)) or [()] * 5
+            reach, frequent_reach = ((100 + percent) * c // percent - n for c in (n - own, int((h > rare).sum())))
+            prefix = k[order].view(np.int64), h[order].astype(np.int32)
+            out.append((name, n, reach, frequent_reach, float(h.sum()) / n, k[common].view(np.int64), *prefix))
+        columns = list(zip(*out)) or [()] * 8
         return pa.table({
             "sig": pa.array(columns[0], pa.binary()), "n": pa.array(columns[1], pa.int64()),
-            "shingles": pa.array(columns[2], pa.list_(pa.int64())), "prefix": pa.array(columns[3], pa.list_(pa.int64())),
-            "held": pa.array(columns[4], pa.list_(pa.int32())),
+            "reach": pa.array(columns[2], pa.int64()), "frequent_reach": pa.array(columns[3], pa.int64()),
+            "weight": pa.array(columns[4], pa.float64()), "shingles": pa.array(columns[5], pa.list_(pa.int64())),
+            "prefix": pa.array(columns[6], pa.list_(pa.int64())), "held": pa.array(columns[7], pa.list_(pa.int32())),
         })
 
     return run
 
 
+PREFIXES = """sig binary, n long, reach long, frequent_reach long, weight double, shingles array<long>,
+    prefix array<long>, held array<int>"""
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
     # Shingles that one set alone holds cannot be common and are not among these; n counts all.
@@ -324,38 +333,46 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def index_keys(sets: DataFrame, percent: int, rare: int, small: int) -> DataFrame:
-    """(key, sig): the keys under which every set is indexed.
+    """(key, sig, n, reach, weight): the keys under which every set is indexed.
 
     Similar sets share two shingles of their prefixes. If one of them is rare, they meet under it. Else
     all are frequent: sets up to ``small`` shingles meet under a combination of two, larger ones under
     single shingles; sets close below ``small`` use both, as their partners can be on either side.
+
+    A prefix with a frequent shingle holds all rare ones of its set. So sets that meet under frequent
+    shingles alone have no rare one in common, and there ``reach`` counts the frequent ones only.
     """
-    entries = sets.select("sig", "n", F.explode(F.arrays_zip("prefix", "held")).alias("e"))
-    entries = entries.select("sig", "n", F.col("e.prefix").alias("shingle"), F.col("e.held").alias("held"))
+    frequent_reach = F.col("frequent_reach").alias("reach")
+    entries = sets.select("sig", "n", "reach", "frequent_reach", "weight", F.explode(F.arrays_zip("prefix", "held")).alias("e"))
+    entries = entries.select("*", F.col("e.prefix").alias("key"), F.col("e.held").alias("held"))
+    reach = F.when(F.col("held") <= rare, F.col("reach")).otherwise(F.col("frequent_reach"))
     alone = entries.where((F.col("held") <= rare) | (100 * F.col("n") > percent * small)).select(
-        F.col("shingle").alias("key"), "sig"
+        "key", "sig", "n", reach.alias("reach"), "weight"
     )
     frequent = F.filter(F.arrays_zip("prefix", "held"), lambda e: e["held"] > rare)
     lists = sets.where(F.col("n") <= small).select(
-        "sig", F.array_sort(F.transform(frequent, lambda e: e["prefix"])).alias("s")
+        "sig", "n", frequent_reach, "weight", F.array_sort(F.transform(frequent, lambda e: e["prefix"])).alias("s")
     )
     two = F.flatten(
         F.transform("s", lambda x, i: F.transform(F.slice(F.col("s"), i + 2, F.size("s")), lambda y: F.xxhash64(x, y)))
     )
-    return alone.unionByName(lists.select(F.explode(two).alias("key"), "sig"))
+    return alone.unionByName(lists.select(F.explode(two).alias("key"), "sig", "n", "reach", "weight"))
 
 
-def star_pairs(lists: DataFrame) -> DataFrame:
+def star_pairs(lists: DataFrame, first: Column) -> DataFrame:
     """Each set with the most frequent first member of its lists, where both lie in different components.
 
-    ``lists`` has (key, sig, label). The first member is the one with the smallest label.
+    ``lists`` has (key, sig, n, reach, weight, label). The first member has the largest ``first``.
     """
-    first = F.min_by("sig", F.struct("label", "sig"))
-    hubs = lists.groupBy("key").agg(first.alias("hub"), F.min("label").alias("hub_label"), F.max("label").alias("top"))
-    hubs = hubs.where(F.col("hub_label") != F.col("top")).drop("top")
+    hub = F.max_by(F.struct("sig", "n", "reach", "label"), F.struct(first, F.col("sig")))
+    hubs = lists.groupBy("key").agg(hub.alias("hub"), F.min("label").alias("low"), F.max("label").alias("high"))
+    hubs = hubs.where("low != high").select("key", "hub")
+    able = (
+        (F.col("label") != F.col("hub.label")) & (F.col("n") <= F.col("hub.reach")) & (F.col("hub.n") <= F.col("reach"))
+    )
     votes = (
-        lists.join(hubs, "key").where(F.col("label") != F.col("hub_label"))
-        .groupBy("sig", "hub").agg(F.count(F.lit(1)).alias("votes"))
+        lists.join(hubs, "key").where(able)
+        .groupBy("sig", F.col("hub.sig").alias("hub")).agg(F.count(F.lit(1)).alias("votes"))
     )
     order = Window.partitionBy("sig").orderBy(F.desc("votes"), "hub")
     best = votes.withColumn("r", F.row_number().over(order)).where("r = 1")
@@ -366,30 +383,44 @@ def labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return lists.withColumn("label", F.col("sig"))
     found = lists.join(labels, "sig", "left")
-    return found.withColumn("label", F.coalesce("label", "sig")).select("key", "sig", "label")
+    return found.withColumn("label", F.coalesce("label", "sig"))
 
 
 def similar_components(sets: DataFrame, percent: int, rare: int, small: int, rounds: int) -> DataFrame:
     """(sig, label) of the components of all sets with a link.
 
     Large groups of near copies would give all their pairs, so ``rounds`` times each set is first compared with one
-    member of another component in its lists. What is left are pairs whose members still lie in
-    different components; these are compared in full, so that no link between two components is lost.
+    member of another component in its lists: the one with the most frequent shingles, which is closest to
+    what the copies were made from, and in every other round one of the largest component in reach.
+    What is left are pairs whose members still lie in different components; these are compared in full,
+    so that no link between two components is lost. Sets without a partner in reach of their size leave
+    the lists before.
     """
     lists = materialize(index_keys(sets, percent, rare, small), "index")
     links = None
     labels = None
-    for _ in range(rounds):
-        found = materialize(verified(star_pairs(labelled(lists, labels)), sets, percent), "star-links")
+    for turn in range(rounds):
+        marked = labelled(lists, labels)
+        if turn % 2:
+            sizes = marked.select("sig", "label").distinct().groupBy("label").agg(F.count(F.lit(1)).alias("members"))
+            marked = marked.join(sizes, "label")
+        first = F.col("members").cast("double") if turn % 2 else F.col("weight")
+        found = materialize(verified(star_pairs(marked, first), sets, percent), "star-links")
         if found.isEmpty():
-            break
+            continue
         links = found if links is None else links.unionByName(found)
         labels = components(links)
-    marked = labelled(lists, labels)
-    mixed = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    marked = materialize(marked.join(mixed.select("key"), "key"), "open-lists")
-    other = marked.select("key", F.col("sig").alias("b"), F.col("label").alias("label_b"))
-    pairs = marked.join(other, "key").where(F.col("label") < F.col("label_b"))
+    marked = labelled(lists, labels).drop("weight")
+    mixed = marked.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least"), F.max("reach").alias("most")
+    )
+    mixed = mixed.where("low != high").select("key", "least", "most")
+    marked = marked.join(mixed, "key").where("reach >= least AND n <= most").drop("least", "most")
+    marked = materialize(marked, "open-lists")
+    other = marked.select(
+        "key", F.col("sig").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("n_b"), F.col("reach").alias("reach_b")
+    )
+    pairs = marked.join(other, "key").where("label < label_b AND n <= reach_b AND n_b <= reach")
     pairs = pairs.select(F.least("sig", "b").alias("a"), F.greatest("sig", "b").alias("b")).distinct()
     found = materialize(verified(pairs, sets, percent), "cross-links")
     if found.isEmpty():
@@ -438,7 +469,7 @@ def similar_documents(
     answers = asked.groupBy("bucket").applyInArrow(answer_frequency, ANSWERED)
     sets = materialize(
         sets.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-            prefix_rows(percent), "sig binary, n long, shingles array<long>, prefix array<long>, held array<int>"
+            prefix_rows(percent, rare), PREFIXES
         ),
         "prefixes",
     )
