@@ -245,9 +245,9 @@ def prefix_rows(percent: int, rare: int):
     """Sets that can still be similar to another: their shared shingles, and their prefix with frequencies.
 
     The common order is by frequency, then by hash, so prefixes hold the rarest shingles. A set with more
-    shingles of its own than can be missing is done. ``reach`` is the size of the largest set that can be
-    similar, as only shared shingles can be common, and ``frequent_reach`` that of the largest one with which
-    no rare shingle is common; ``weight`` is the mean frequency of the shingles.
+    shingles of its own than can be missing is done. ``reach`` has, for each shingle of the prefix, the size of
+    the largest set that can be similar if this is the first common shingle, and ``frequent_reach`` is that of the
+    largest one with which no rare shingle is common; ``weight`` is the mean frequency of the shingles.
     """
 
     def run(sets: pa.Table, answers: pa.Table) -> pa.Table:
@@ -270,13 +270,14 @@ def prefix_rows(percent: int, rare: int):
                 continue
             # One longer than one common shingle needs, so that similar sets share two; own ones are the first of it.
             order = np.lexsort((k, h))[own : missing + 2]
-            reach, frequent_reach = ((100 + percent) * c // percent - n for c in (n - own, int((h > rare).sum())))
+            frequent_reach = (100 + percent) * int((h > rare).sum()) // percent - n
+            reach = (100 + percent) * (n - own - np.arange(len(order))) // percent - n
             prefix = k[order].view(np.int64), h[order].astype(np.int32)
             out.append((name, n, reach, frequent_reach, float(h.sum()) / n, k[common].view(np.int64), *prefix))
         columns = list(zip(*out)) or [()] * 8
         return pa.table({
             "sig": pa.array(columns[0], pa.binary()), "n": pa.array(columns[1], pa.int64()),
-            "reach": pa.array(columns[2], pa.int64()), "frequent_reach": pa.array(columns[3], pa.int64()),
+            "reach": pa.array(columns[2], pa.list_(pa.int64())), "frequent_reach": pa.array(columns[3], pa.int64()),
             "weight": pa.array(columns[4], pa.float64()), "shingles": pa.array(columns[5], pa.list_(pa.int64())),
             "prefix": pa.array(columns[6], pa.list_(pa.int64())), "held": pa.array(columns[7], pa.list_(pa.int32())),
         })
@@ -284,7 +285,7 @@ def prefix_rows(percent: int, rare: int):
     return run
 
 
-PREFIXES = """sig binary, n long, reach long, frequent_reach long, weight double, shingles array<long>,
+PREFIXES = """sig binary, n long, reach array<long>, frequent_reach long, weight double, shingles array<long>,
     prefix array<long>, held array<int>"""
 
 
@@ -339,19 +340,18 @@ def index_keys(sets: DataFrame, percent: int, rare: int, small: int) -> DataFram
     all are frequent: sets up to ``small`` shingles meet under a combination of two, larger ones under
     single shingles; sets close below ``small`` use both, as their partners can be on either side.
 
-    A prefix with a frequent shingle holds all rare ones of its set. So sets that meet under frequent
-    shingles alone have no rare one in common, and there ``reach`` counts the frequent ones only.
+    Similar sets are in reach of each other under their first common shingle; under later ones they need
+    not be. A prefix with a frequent shingle holds all rare ones of its set, so sets that meet under
+    combinations alone have no rare one in common, and there ``reach`` counts the frequent ones only.
     """
-    frequent_reach = F.col("frequent_reach").alias("reach")
-    entries = sets.select("sig", "n", "reach", "frequent_reach", "weight", F.explode(F.arrays_zip("prefix", "held")).alias("e"))
-    entries = entries.select("*", F.col("e.prefix").alias("key"), F.col("e.held").alias("held"))
-    reach = F.when(F.col("held") <= rare, F.col("reach")).otherwise(F.col("frequent_reach"))
+    entries = sets.select("sig", "n", "weight", F.explode(F.arrays_zip("prefix", "held", "reach")).alias("e"))
+    entries = entries.select("sig", "n", "weight", F.col("e.prefix").alias("key"), "e.held", "e.reach")
     alone = entries.where((F.col("held") <= rare) | (100 * F.col("n") > percent * small)).select(
-        "key", "sig", "n", reach.alias("reach"), "weight"
+        "key", "sig", "n", "reach", "weight"
     )
     frequent = F.filter(F.arrays_zip("prefix", "held"), lambda e: e["held"] > rare)
     lists = sets.where(F.col("n") <= small).select(
-        "sig", "n", frequent_reach, "weight", F.array_sort(F.transform(frequent, lambda e: e["prefix"])).alias("s")
+        "sig", "n", F.col("frequent_reach").alias("reach"), "weight", F.array_sort(F.transform(frequent, lambda e: e["prefix"])).alias("s")
     )
     two = F.flatten(
         F.transform("s", lambda x, i: F.transform(F.slice(F.col("s"), i + 2, F.size("s")), lambda y: F.xxhash64(x, y)))

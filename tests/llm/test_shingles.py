@@ -62,7 +62,15 @@ def test_equal_to_all_pairs(spark, seed):
     chain = [rng.choice(vocabulary) for _ in range(120)]
     for i in range(20):
         rows.append((10**7 + i, " ".join(chain[: 100 - 4 * i] + [f"z{j}" for j in range(4 * i)]), None, None, None, None, None))
-    got = similar_documents(frame(spark, rows), rare=4).collect()
+    # Changes from few words, so that copies share some of them.
+    few = [rng.choice(vocabulary) for _ in range(90)]
+    for i in range(40):
+        words = list(few)
+        for _ in range(i % 7):
+            words[rng.choice([10, 25, 40, 55, 70, 85])] = rng.choice(["x", "y"])
+        rows.append((2 * 10**7 + i, " ".join(words), None, None, None, None, None))
+    # Without rounds, comparing what meets in the lists has to find every link.
+    got = similar_documents(frame(spark, rows), rare=4, rounds=0 if seed == 1 else 2).collect()
     assert sorted((repr(r.doc_id), r.n_shingles, repr(r.component_id)) for r in got) == brute(rows)
 
 
