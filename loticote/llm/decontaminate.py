@@ -1,7 +1,7 @@
 """Benchmark passages in whole documents, allowing edits: q-gram filter in diagonal bands, then alignment.
 
 Both sides are compared as normalized UTF-8: A-Z in lower case, runs of ASCII white space and punctuation
-as one space. An item is searched in overlapping windows. A window of m bytes that occurs with at most
+as one space. An item is searched in overlapping windows, long ones and dense short ones. A window of m bytes that occurs with at most
 k edits shares at least m - q + 1 - k q of its q-grams with that place, on diagonals at most k apart. So the shared
 q-grams are counted in diagonal bands 2 (k + 1) wide that overlap by half, bands under the bound are dropped,
 and what is left is aligned in the band exactly.
@@ -63,43 +63,70 @@ def slot(grams: np.ndarray) -> np.ndarray:
 
 
 class Patterns:
-    """The windows of a block of items and an index of their q-grams."""
+    """The windows of a block of items and an index of the items' q-grams.
 
-    def __init__(self, items: list[tuple[int | None, str]], window: int, stride: int, rate: float):
+    Every item has windows of ``window`` bytes, and one longer than ``passage`` also has short
+    windows of ``passage`` bytes every ``step``, so that a part of it is found at any offset.
+    """
+
+    def __init__(
+        self, items: list[tuple[int | None, str]], window: int, stride: int, rate: float,
+        passage: int | None = None, step: int = 1,
+    ):
         self.item_ids: list[int | None] = []
-        self.windows: list[np.ndarray] = []
         self.totals: list[int] = []
+        self.scales = [(window, stride)] + ([(passage, step)] if passage else [])
+        bodies, starts, of = [], [[] for _ in self.scales], [[] for _ in self.scales]
+        base = 0
         for item_id, text in items:
             raw = np.frombuffer(text.encode(), np.uint8)
             clean = normalized(raw, np.array([0, len(raw)]))[0].tobytes()[:-1].strip(b" ")
             if len(clean) < Q:
                 continue
-            body = np.frombuffer(clean, np.uint8)
-            starts = list(range(0, max(1, len(body) - window + 1), stride))
-            if starts[-1] + window < len(body):
-                starts.append(len(body) - window)
-            for s in starts:
-                self.item_ids.append(item_id)
-                self.windows.append(body[s : s + window])
-                self.totals.append(len(starts))
-        sizes = np.array([len(w) for w in self.windows], np.int64)
-        self.sizes = sizes
+            total = 0
+            for k, (size, every) in enumerate(self.scales):
+                if k and len(clean) <= min(size, window):
+                    continue  # its one window is there already
+                mine = np.arange(0, max(1, len(clean) - size + 1), every)
+                if mine[-1] + size < len(clean):
+                    mine = np.append(mine, len(clean) - size)
+                starts[k].append(base + mine)
+                of[k].append(np.full(len(mine), len(self.item_ids)))
+                total += len(mine)
+            bodies.append(np.frombuffer(clean, np.uint8))
+            self.item_ids.append(item_id)
+            self.totals.append(total)
+            base += len(clean)
+        whole = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        lengths = np.array([len(x) for x in bodies], np.int64)
+        self.body = np.concatenate(bodies) if bodies else np.zeros(0, np.uint8)
+        self.borders = np.concatenate(([0], np.cumsum(lengths)))
+        # Windows of one scale are neighbours, in the order of their starts.
+        self.scale_borders = np.concatenate(([0], np.cumsum([sum(map(len, x)) for x in starts])))
+        self.starts = whole([x for scale in starts for x in scale])
+        self.items = whole([x for scale in of for x in scale])
+        limits = np.repeat([size for size, _ in self.scales], np.diff(self.scale_borders))
+        self.sizes = sizes = np.minimum(self.borders[self.items + 1] - self.starts, limits)
         # The largest budget up to the rate that leaves a bound of at least one shared q-gram.
         self.budget = np.minimum((sizes * rate).astype(np.int64), np.maximum((sizes - Q) // Q, 0))
         self.bound = sizes - Q + 1 - self.budget * Q
-        grams = [qgrams(w) for w in self.windows]
-        counts = np.array([len(g) for g in grams], np.int64)
-        flat = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
+        self.least = np.full(len(lengths), np.iinfo(np.int64).max)
+        np.minimum.at(self.least, self.items, self.bound)
+        self.cell = 2 * (int(self.budget.max(initial=0)) + 1)
+        counts = lengths - Q + 1
+        flat = np.concatenate([qgrams(x) for x in bodies]) if bodies else np.zeros(0, np.uint64)
         order = np.argsort(flat, kind="stable")
-        self.grams, first, lengths = np.unique(flat[order], return_index=True, return_counts=True)
-        self.first, self.lengths = first, lengths
-        self.of = np.repeat(np.arange(len(grams)), counts)[order]
-        self.offset = (runs(counts) if len(counts) else counts)[order]
+        self.grams, self.first, self.lengths = np.unique(flat[order], return_index=True, return_counts=True)
+        self.at = (np.repeat(self.borders[:-1], counts) + runs(counts))[order]
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[slot(self.grams)] = True
 
-    def shared(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place, window, offset) of every q-gram that the text shares with a window."""
+    @property
+    def windows(self) -> list[np.ndarray]:
+        return [self.body[a : a + n] for a, n in zip(self.starts.tolist(), self.sizes.tolist())]
+
+    def shared(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, place in ``body``) of every q-gram that the text shares with an item."""
         grams = qgrams(data)
         able = np.flatnonzero(self.table[slot(grams)])
         found = grams[able]
@@ -108,13 +135,42 @@ class Patterns:
         able, at = able[real], at[real]
         counts = self.lengths[at]
         rows = np.repeat(self.first[at], counts) + runs(counts) if len(at) else at
-        return np.repeat(able, counts), self.of[rows], self.offset[rows]
+        return np.repeat(able, counts), self.at[rows]
+
+    def crowded(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The shared q-grams without those of item diagonals that have too few for any window.
+
+        The band of a window is at most one cell wide, so it lies in two neighbouring cells of its item.
+        """
+        place, at = self.shared(data)
+        item = np.searchsorted(self.borders, at, "right") - 1
+        wide = (len(data) + len(self.body)) // self.cell + 3  # cells of one item are no neighbours of the next one's
+        keys = item * np.int64(wide) + (place - at + len(self.body)) // self.cell + 1
+        cells, where, counts = np.unique(keys, return_inverse=True, return_counts=True)
+        near = np.zeros(len(cells), np.int64)
+        if len(cells) > 1:
+            touch = cells[1:] == cells[:-1] + 1
+            near[1:] = np.where(touch, counts[:-1], 0)
+            near[:-1] = np.maximum(near[:-1], np.where(touch, counts[1:], 0))
+        enough = (counts + near)[where] >= self.least[item]
+        return place[enough], at[enough]
 
     def bands(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, first diagonal) of every band with enough shared q-grams."""
-        place, window, offset = self.shared(data)
+        place, at = self.crowded(data)
+        begin = self.borders[np.searchsorted(self.borders, at, "right") - 1]
+        windows, diagonals = [], []
+        for (size, _), low, high in zip(self.scales, self.scale_borders[:-1], self.scale_borders[1:]):
+            # The windows that hold the q-gram.
+            starts = self.starts[low:high]
+            first = np.searchsorted(starts, np.maximum(at - (size - Q), begin))
+            counts = np.searchsorted(starts, at, "right") - first
+            window = low + np.repeat(first, counts) + runs(counts)
+            windows.append(window)
+            diagonals.append(np.repeat(place - at, counts) + self.starts[window])
+        window, diagonal = np.concatenate(windows), np.concatenate(diagonals)
         step = self.budget[window] + 1
-        band = (place - offset + len(data)) // step  # shifted, so that it is never negative
+        band = (diagonal + len(data)) // step  # shifted, so that it is never negative
         wide = 4 * len(data) + 4
         keys, counts = np.unique(window * np.int64(wide) + band, return_counts=True)
         window, band = keys // wide, keys % wide
@@ -144,10 +200,10 @@ class Patterns:
         size, budget = int(self.sizes[window[0]]), int(self.budget[window[0]])
         wide = 2 * (budget + 1) + 2 * budget
         low = diagonal - budget  # first diagonal of each band
-        text = np.stack([self.windows[w] for w in window])
+        text = self.body[self.starts[window][:, None] + np.arange(size)]
         diagonals = np.arange(wide)
         one = np.int64(1) << 40
-        far = one << 20
+        far = one << 14
         # Cell (i, d) is pattern i against place low + i + d; it holds edits * one + start, counted from low.
         cells = np.broadcast_to(diagonals, (len(window), wide)).astype(np.int64)
         place = low[:, None] + diagonals
@@ -160,8 +216,9 @@ class Patterns:
             change = np.where((here == text[:, i][:, None]) & inside, 0, one) + np.where(inside & (here != 0), 0, far)
             best = cells + change
             best[:, :-1] = np.minimum(best[:, :-1], cells[:, 1:] + one)  # an item byte is missing in the text
-            slide = best - diagonals * one  # further bytes in the text
-            cells = np.minimum.accumulate(slide, axis=1) + diagonals * one
+            # Further bytes in the text, not over the zero byte at its end.
+            passed = np.cumsum(np.where(here != 0, one, far), axis=1)
+            cells = np.minimum.accumulate(best - passed, axis=1) + passed
         best = cells.argmin(axis=1)
         value = cells[np.arange(len(window)), best]
         return value // one, low + value % one, low + size + best
@@ -170,7 +227,7 @@ class Patterns:
         """(text, window, edits, start, end) of every window that occurs; places are bytes of the texts."""
         clean, place = normalized(data, borders)
         empty = np.zeros(0, np.int64)
-        if not self.windows or not len(clean):
+        if not len(self.starts) or not len(clean):
             return empty, empty, empty, empty, empty
         window, diagonal = self.bands(clean)
         if not len(window):
@@ -212,11 +269,15 @@ def find_leaks(
     stride: int = 60,
     block_bytes: int = 4 << 20,
     batch_bytes: int = 4 << 20,
+    passage: int = 68,
+    step: int = 4,
 ) -> DataFrame:
     """``doc_id, item_id, n_found, n_windows, edits, start, end`` for every document and item that leaks into it.
 
-    An item leaks when one of its windows (``window`` normalized bytes, every ``stride``; a shorter item
-    is one window) occurs with edits of at most ``rate`` of the window. ``n_found`` of ``n_windows`` windows occur;
+    An item leaks when one of its windows occurs with edits of at most ``rate`` of the window. Windows are
+    ``window`` normalized bytes, every ``stride`` (a shorter item is one window), and ``passage`` bytes,
+    every ``step``: whatever its offset, a verbatim part of an item holds a whole window from ``passage + step - 1``
+    bytes on. ``n_found`` of ``n_windows`` windows occur;
     ``edits`` is the least number; ``start`` and ``end`` are code points of the text around the windows found.
     Budgets are at most (m - q) / q, as the filter bound must be positive. Items that are NULL or shorter
     than q normalized bytes match nothing, NULL and empty texts match nothing, NULL ids stay NULL; repeated
@@ -229,7 +290,7 @@ def find_leaks(
     schema = "doc_id long, item_id long, n_found long, n_windows long, edits long, start long, end long"
     out = df.sparkSession.createDataFrame([], schema)
     for block in item_blocks(benchmark, item_col, item_text_col, block_bytes):
-        out = out.unionByName(rows.mapInArrow(leak_rows(Patterns(block, window, stride, rate), batch_bytes), schema))
+        out = out.unionByName(rows.mapInArrow(leak_rows(Patterns(block, window, stride, rate, passage, step), batch_bytes), schema))
     return out
 
 
@@ -240,7 +301,8 @@ def leak_rows(patterns: Patterns, batch_bytes: int):
             found: dict[tuple, list] = {}
             seen = set()
             for t, w, e, s, end in zip(*(x.tolist() for x in patterns.find(data, borders))):
-                row = found.setdefault((t, patterns.item_ids[w], patterns.totals[w]), [0, e, s, end])
+                i = patterns.items[w]
+                row = found.setdefault((t, patterns.item_ids[i], patterns.totals[i]), [0, e, s, end])
                 row[0] += (t, w) not in seen
                 seen.add((t, w))
                 row[1:] = [min(row[1], e), min(row[2], s), max(row[3], end)]
@@ -268,10 +330,12 @@ def drop_leaks(
     stride: int = 60,
     block_bytes: int = 4 << 20,
     batch_bytes: int = 4 << 20,
+    passage: int = 68,
+    step: int = 4,
 ) -> DataFrame:
     """The rows into which no item leaks, with all their columns; the text column has to be a string."""
     for block in item_blocks(benchmark, item_col, item_text_col, block_bytes):
-        df = df.mapInArrow(clean_rows(Patterns(block, window, stride, rate), text_col, batch_bytes), StructType(df.schema.fields))
+        df = df.mapInArrow(clean_rows(Patterns(block, window, stride, rate, passage, step), text_col, batch_bytes), StructType(df.schema.fields))
     return df
 
 
