@@ -18,15 +18,12 @@ from loticote.llm.common import prepare
 from loticote.session import materialize, tune
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-# A document is kept if its likeliest language has at least this mean probability over its words.
-MIN_LANGUAGE_SCORE = 0.5
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(tune(spark))
     found = language.detect_language(docs, keep=COLUMNS)
-    sure = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    kept = found.where(sure)
+    kept = found.where(F.col("lang_pred") != language.UNKNOWN)
     named = {c: F.col(f"keep_{c}") for c in COLUMNS} | {"lang": F.col("lang_pred")}
     return kept.select(*(named[c].alias(c) for c in COLUMNS))
 

@@ -84,3 +84,11 @@ def test_awkward_documents(spark):
     for name, stage in pipeline.STAGES:
         empty = pipeline.materialize(stage(spark, empty, SF), f"test-none-{name}")
     assert empty.count() == 0
+
+
+def test_documents_in_several_languages_stay(spark, monkeypatch):
+    rows = [(1, "three languages", "x", "s", 15, "fr", 0.35), (2, "one", "x", "s", 3, "en", 0.9), (3, "1 2", "x", "s", 3, "und", 0.0)]
+    names = [f"keep_{c}" for c in pipeline.COLUMNS] + ["lang_pred", "score"]
+    monkeypatch.setattr(pipeline.language, "detect_language", lambda docs, keep: spark.createDataFrame(rows, names))
+    got = pipeline.identified(spark, None, SF).collect()
+    assert sorted((r.doc_id, r.lang) for r in got) == [(1, "fr"), (2, "en")]
