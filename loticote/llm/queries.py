@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loticote.llm import (
     decontaminate,
+    filter_audit,
     infill,
     language,
     mixing,
@@ -230,3 +231,53 @@ def op11_swar_infill(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("output", 256).alias("output_sha256"),
         F.sha2(infill.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
     )
+
+
+AUDIT_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+worded AS (
+  SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM texts),
+firsts AS (SELECT t, min(doc_id) AS least_id FROM texts GROUP BY t),
+said AS (
+  SELECT doc_id, coalesce(max(quality = 1), false) AS good, coalesce(max(toxic = 1), false) AS toxic
+  FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+     100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t), regexp_matches(t, '[#$%&*|]'),
+     coalesce(worded.doc_id > least_id, false)] AS f
+  FROM worded JOIN firsts USING (t) LEFT JOIN said ON said.doc_id = worded.doc_id),
+patterns AS (
+  SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM judged GROUP BY part, f),
+orders AS (
+  SELECT '' AS o UNION ALL
+  SELECT o || x FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE NOT contains(o, x)),
+steps AS (
+  SELECT o, s, list_transform(string_split(o, ''), lambda x: ascii(x) - 64) AS p
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS s) WHERE length(o) = 5),
+found AS (
+  SELECT part, o, s, n, good, toxic, f[p[s]] AS fails, list_bool_or(list_transform(p[1:s - 1], lambda i: f[i])) AS gone,
+    len(list_filter(f, lambda b: b)) = 1 AS alone
+  FROM patterns, steps),
+counted AS (
+  SELECT part, o, s, coalesce(sum(n) FILTER (NOT fails AND NOT coalesce(gone, false)), 0) AS kept,
+    coalesce(sum(n) FILTER (fails AND NOT coalesce(gone, false)), 0) AS removed,
+    coalesce(sum(n) FILTER (fails AND gone), 0) AS redundant,
+    coalesce(sum(n) FILTER (fails AND alone), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (fails AND NOT coalesce(gone, false)), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (fails AND NOT coalesce(gone, false)), 0) AS toxic_lost
+  FROM found GROUP BY part, o, s)
+SELECT part, o AS filter_order, CAST(s AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, substr(o, s, 1)) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+@query("op12_survival_audit", AUDIT_SQL)
+def op12_survival_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf, "documents"), table(spark, sf, "labels"))
