@@ -46,3 +46,26 @@ class Pieces:
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.back[start])
+
+
+def digests(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit digests of the pieces [start, end), which may be empty but not many times longer than the data.
+
+    A piece is read as words of eight bytes; each is mixed together with its place before they are added, so
+    that the digest is no polynomial in the bytes, under which long periodic pieces could meet.
+    """
+    size = (end - start).astype(np.int64)
+    parts = np.maximum(-(-size // 8), 1)
+    last = np.cumsum(parts)
+    place = np.arange(last[-1] if len(last) else 0) - np.repeat(last - parts, parts)
+    at = np.repeat(start, parts) + place * 8
+    rest = np.repeat(size, parts) - place * 8
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    words = np.lib.stride_tricks.sliding_window_view(padded, 8)[at].view("<u8")[:, 0]
+    bits = np.minimum(rest, 8).astype(np.uint64) * np.uint64(8)
+    # A shift by 64 is undefined: whole words keep all their bits, empty pieces none.
+    words &= np.where(rest >= 8, np.uint64(2**64 - 1), (np.uint64(1) << (bits & np.uint64(63))) - np.uint64(1))
+    salt = mix(place.astype(np.uint64) * np.uint64(BASE) + np.uint64((seed + 1) * 0x632BE59BD9B4E019 % 2**64))
+    mixed = mix(mix(words ^ salt) + salt)
+    sums = np.add.reduceat(mixed, last - parts) if len(mixed) else mixed
+    return mix(sums + size.astype(np.uint64) * np.uint64(BASE))

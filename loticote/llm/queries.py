@@ -12,6 +12,7 @@ from loticote.llm import (
     decontaminate,
     filter_audit,
     infill,
+    kernel_quality,
     language,
     mixing,
     pieces,
@@ -281,3 +282,8 @@ FROM counted
 @query("op12_survival_audit", AUDIT_SQL)
 def op12_survival_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit_filters(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op13_fourier_quality")
+def op13_fourier_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return kernel_quality.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
