@@ -300,8 +300,8 @@ GLOBAL_BINS = bins_sql(
     count(*) AS nb_annonces FROM binned GROUP BY ALL""",
 )
 def price_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    rows = summary.trim_quantile(v.listings(spark, sf, "type_offre", "prix_m2"), "prix_m2", 0.95)
-    counts = profiles.histogram(rows, "prix_m2", 50, "type_offre")
+    rows = v.listings(spark, sf, "type_offre", "prix_m2")
+    counts = profiles.histogram(rows, "prix_m2", 50, "type_offre", trim=0.95)
     return counts.withColumn("borne_inf", F.round("borne_inf", 6))
 
 

@@ -12,6 +12,7 @@ from checks import views as v
 from checks.cleaning_queries import (
     CLEAN,
     CLEAN_VALUES,
+    parse_rooms,
     real_rooms,
     stored,
     title,
@@ -55,7 +56,7 @@ sources AS (SELECT DISTINCT nom FROM (
 AT_LOAD = f"""at_load AS (SELECT * FROM {values(fixed.PROPERTY_TYPES_AT_LOAD)}),
 loaded AS (SELECT left(titre, 255) AS titre, prix, surface_m2,
     {per_m2("prix", "surface_m2")} AS prix_m2,
-    CAST(TRY_CAST(pieces AS DOUBLE) AS INTEGER) AS pieces,
+    {parse_rooms("pieces")} AS pieces,
     coalesce(at_load.w, {title("type_bien")}, 'Inconnu') AS type_bien, type_offre, zone, source
     FROM listed LEFT JOIN at_load ON at_load.k = lower(type_bien)
     WHERE zone IN (SELECT nom FROM zones) AND lower(source) IN (SELECT lower(nom) FROM sources)

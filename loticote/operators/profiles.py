@@ -8,10 +8,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loticote.functions import fixed_values as fixed
-from loticote.functions.numbers import exact_mean, percent
+from loticote.functions.numbers import exact_mean, mean_of, percent
 from loticote.functions.text import normalize_text
-from loticote.operators.summary import grouped_summary, largest, smallest
-from loticote.session import materialize
+from loticote.operators.summary import (
+    STATE,
+    grouped_summary,
+    largest,
+    smallest,
+    summarize,
+    total,
+    up_to_quantile,
+    value_counts,
+)
 
 
 def source_overview(df: DataFrame, by: str = "source") -> DataFrame:
@@ -135,45 +143,48 @@ def _bin(value: Column, first: Column, width: Column, bins: int) -> Column:
     return (guess - down + up).cast("int")
 
 
-def histogram(df: DataFrame, value: str, bins: int, by: str) -> DataFrame:
-    """Equal-width bins over the whole column, counted per value of ``by``."""
-    rows = df.select(by, value).where(F.col(value).isNotNull())
+def histogram(df: DataFrame, value: str, bins: int, by: str, trim: float | None = None) -> DataFrame:
+    """Equal-width bins over the whole column, counted per value of ``by``.
+
+    With ``trim`` only the rows count whose value does not exceed this quantile. Limit, range and bins all
+    come from the counts of the values, so the rows are read once.
+    """
+    counts = value_counts(df, [by], value)
+    if trim is not None:
+        counts = up_to_quantile(counts, value, trim)
     first, width = _edges(F.col("_low"), F.col("_high"), bins)
-    range_ = rows.agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    range_ = counts.agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
     edges = range_.select(F.struct(first.alias("first"), width.alias("width")).alias("_edges"))
     first, width = F.col("_edges.first"), F.col("_edges.width")
-    placed = rows.withColumn("_edges", edges.scalar()).select(
-        by, "_edges", _bin(F.col(value), first, width, bins).alias("classe")
+    placed = counts.withColumn("_edges", edges.scalar()).select(
+        by, "_edges", f"{STATE}._rows", _bin(F.col(value), first, width, bins).alias("classe")
     )
-    counts = placed.groupBy(by, "classe", "_edges").agg(F.count(F.lit(1)).alias("nb_annonces"))
-    return counts.withColumn("borne_inf", first + F.col("classe") * width).drop("_edges")
+    found = placed.groupBy(by, "classe", "_edges").agg(F.sum("_rows").alias("nb_annonces"))
+    return found.withColumn("borne_inf", first + F.col("classe") * width).drop("_edges")
 
 
 def histogram_by_group(df: DataFrame, value: str, bins: int, by: str) -> DataFrame:
     """Equal-width bins over each group's own range, with the group's mean and median.
 
-    The ranges are stored first, so that joining them back does not shuffle the rows.
+    The ranges come from the counts of the values, to which they are then joined: one row per group.
     """
-    rows = df.select(by, value).where(F.col(value).isNotNull())
-    ranges = materialize(
-        grouped_summary(
-            rows.withColumn("_value", F.col(value)),
-            [by],
-            value,
-            {"mediane": 0.5},
-            {"_low": smallest("_value"), "_high": largest("_value")},
-            mean="moyenne",
-        ),
-        "ranges",
-    )
+    measures = {"_low": smallest(value), "_high": largest(value), "_sum": total(value)}
+    counts = value_counts(df.where(F.col(by).isNotNull()), [by], value, measures)
+    ranges = summarize(counts, [by], value, {"mediane": 0.5}, measures)
     first, width = _edges(F.col("_low"), F.col("_high"), bins)
-    edges = ranges.select(by, "moyenne", "mediane", first.alias("_first"), width.alias("_width"))
+    edges = ranges.select(
+        by,
+        mean_of(F.col("_sum"), F.col("_total")).alias("moyenne"),
+        "mediane",
+        first.alias("_first"),
+        width.alias("_width"),
+    )
     lines = [by, "moyenne", "mediane", "_first", "_width"]
     class_ = _bin(F.col(value), F.col("_first"), F.col("_width"), bins)
-    placed = rows.join(edges, by).select(*lines, class_.alias("classe"))
-    counts = count_by(placed, [*lines, "classe"], "nb_annonces")
+    placed = counts.join(edges, by).select(*lines, class_.alias("classe"), f"{STATE}._rows")
+    found = placed.groupBy(*lines, "classe").agg(F.sum("_rows").alias("nb_annonces"))
     borne = F.col("_first") + F.col("classe") * F.col("_width")
-    return counts.withColumn("borne_inf", borne).drop("_first", "_width")
+    return found.withColumn("borne_inf", borne).drop("_first", "_width")
 
 
 def official_top(official: DataFrame, n: int, zone: str = "zone") -> DataFrame:

@@ -1,11 +1,11 @@
 """Exact group summaries with quantiles, for groups of any size.
 
-Spark's exact percentile keeps every distinct value of a group in the memory of one task. Here a
-first pass counts rows per group and *cell* (a narrow range of values), which partial aggregation
-shrinks before the shuffle. The counts tell which cells hold the wanted ranks. A second pass
-looks only at the rows of these cells and counts their distinct values. Cells are always cut once
-more, into thousands of parts: the counts of the parts tell where the ranks are, and only the
-distinct values of these parts are ordered, so values that crowd in one cell do not meet in one task.
+Spark's exact percentile keeps every distinct value of a group in the memory of one task. Here equal values of
+a group are counted together first; partial aggregation shrinks that before the shuffle, and everything else is
+taken from these counts, so the input is read once. The counts of *parts* (narrow ranges of values, at most some
+hundred thousand for each power of e) tell where the wanted ranks of a group are, and only the values of these
+parts are ordered. A group with a third of all rows is spread over its values, then over its parts; the one
+window that runs over a whole group sees one row for each of its parts.
 """
 
 from __future__ import annotations
@@ -18,16 +18,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loticote.functions.numbers import exact_sum, mean_of
-from loticote.session import materialize
 
-# Neighbouring cells differ by about three percent: a few hundred cells cover any price range.
+# Neighbouring cells differ by about three percent; every cell is cut once more, so that values that crowd
+# in one cell do not meet in one task.
 CELLS_PER_E_FOLD = 32
 PARTS_PER_CELL = 4096
 
+STATE = "_state"
+
 
 @dataclass(frozen=True)
 class Measure:
-    """An aggregate computed per cell and merged per group."""
+    """An aggregate computed per value and merged per group."""
 
     partial: Column
     merge: Callable[[str], Column]
@@ -56,9 +58,19 @@ def value_part(value: Column) -> Column:
     return F.floor((place - F.col("_cell")) * PARTS_PER_CELL).cast("int")
 
 
-def _ranks(share: float) -> tuple[Column, Column]:
-    position = F.lit(share) * (F.col("_total") - 1)
-    return F.floor(position), F.ceil(position)
+def value_counts(
+    df: DataFrame, by: Sequence[str], value: str, measures: Mapping[str, Measure] | None = None
+) -> DataFrame:
+    """Rows (``_rows``) and measures of every value of every group, in the struct ``_state``.
+
+    Whatever is computed from the result shares its shuffle, scalar subqueries included, as long as it
+    belongs to one query. For that every use has to need the same columns: all aggregates are in one struct
+    that the optimizer does not take apart, and the last filter, which keeps every row, needs it.
+    """
+    aggregates = {"_rows": F.count(F.lit(1))} | {k: m.partial for k, m in (measures or {}).items()}
+    state = F.element_at(F.array(F.struct(*[c.alias(k) for k, c in aggregates.items()])), 1)
+    rows = df.where(F.col(value).isNotNull())
+    return rows.groupBy(*by, value).agg(state.alias(STATE)).where(F.col(f"{STATE}._rows") > 0)
 
 
 def grouped_summary(
@@ -77,32 +89,11 @@ def grouped_summary(
     digits over the count. With no ``by`` the whole table is one group.
     """
     measures = dict(measures or {})
-    groups = list(by) or ["_all"]
-    rows = df if by else df.withColumn("_all", F.lit(0))
-    rows = rows.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in [*groups, value]]))
-    rows = rows.withColumn("_cell", value_cell(F.col(value)))
-
-    partials = {"_rows": F.count(F.lit(1))} | {k: m.partial for k, m in measures.items()}
-    if mean:
-        partials["_sum"] = exact_sum(F.col(value), scale)
-    cells = materialize(
-        rows.groupBy(*groups, "_cell").agg(*[c.alias(k) for k, c in partials.items()]),
-        "value-cells",
-    )
-
-    # The totals of a group go along with its cells, so they need no join.
-    merged = {"_total": F.sum("_rows")} | {k: m.merge(k) for k, m in measures.items()}
-    if mean:
-        merged["_sum"] = F.sum("_sum")
-    in_group = Window.partitionBy(*groups)
-    upto = F.sum("_rows").over(in_group.orderBy("_cell")).alias("_upto")
-    totals = [c.over(in_group).alias(f"_of_{k}") for k, c in merged.items()]
-    placed = cells.select(*groups, "_cell", "_rows", upto, *totals)
-    placed = placed.select(*groups, "_cell", "_rows", "_upto", *[F.col(f"_of_{k}").alias(k) for k in merged])
-
-    out = _at_ranks(rows, placed, groups, list(merged), value, quantiles)
-    columns = [F.col(c) for c in by]
-    columns += [F.col(name) for name in quantiles]
+    partials = measures | ({"_sum": total(value, scale)} if mean else {})
+    known = reduce(Column.__and__, [F.col(c).isNotNull() for c in by], F.lit(True))
+    counts = value_counts(df.where(known), by, value, partials)
+    out = summarize(counts, by, value, quantiles, partials)
+    columns = [F.col(c) for c in [*by, *quantiles]]
     if count:
         columns.append(F.col("_total").alias(count))
     if mean:
@@ -110,53 +101,62 @@ def grouped_summary(
     return out.select(*columns, *measures)
 
 
-def _at_ranks(
-    rows: DataFrame,
-    placed: DataFrame,
-    groups: list[str],
-    totals: list[str],
+def summarize(
+    counts: DataFrame,
+    by: Sequence[str],
     value: str,
     quantiles: Mapping[str, float],
+    measures: Mapping[str, Measure] | None = None,
 ) -> DataFrame:
-    """Values at the ranks of each group. A group's cells have its ``totals`` on every row."""
+    """Groups, ``_total`` rows, merged measures and quantiles from the counts of values.
+
+    ``by`` are some of the columns the values were counted by, or none for the whole table.
+    """
+    groups = list(by) or ["_all"]
+    rows = counts if by else counts.withColumn("_all", F.lit(0))
+    rows = rows.withColumn("_cell", value_cell(F.col(value)))
+    rows = rows.withColumn("_part", value_part(F.col(value)))
+    part = [*groups, "_cell", "_part"]
+
+    merged = {"_rows": F.sum(f"{STATE}._rows")}
+    merged |= {k: m.merge(f"{STATE}.{k}") for k, m in (measures or {}).items()}
+    parts = rows.groupBy(*part).agg(*[c.alias(k) for k, c in merged.items()])
+
+    # The totals of a group go along with its parts, so they need no join.
+    whole = {"_total": F.sum("_rows")} | {k: m.merge(k) for k, m in (measures or {}).items()}
+    in_group = Window.partitionBy(*groups)
+    upto = F.sum("_rows").over(in_group.orderBy("_cell", "_part")).alias("_upto")
+    totals = [c.over(in_group).alias(f"_of_{k}") for k, c in whole.items()]
+    placed = parts.select(*part, "_rows", upto, *totals)
+    named = [F.col(f"_of_{k}").alias(k) for k in whole]
+    placed = placed.select(*part, (F.col("_upto") - F.col("_rows")).alias("_before"), "_upto", *named)
+
     ranks = {name: _ranks(share) for name, share in quantiles.items()}
-    wanted = [rank for pair in ranks.values() for rank in pair]
-
-    def hit(before: Column, upto: Column) -> Column:
-        return reduce(Column.__or__, [(r >= before) & (r < upto) for r in wanted])
-
-    placed = placed.withColumn("_before", F.col("_upto") - F.col("_rows"))
-    cells_hit = placed.where(hit(F.col("_before"), F.col("_upto"))).select(*groups, "_cell", "_before", *totals)
-
-    # Rows of the wanted cells only, equal values counted together before the shuffle.
-    cell = [*groups, "_cell"]
-    values = (
-        rows.select(*cell, value, value_part(F.col(value)).alias("_part"))
-        .join(cells_hit.select(*cell), cell)
-        .groupBy(*cell, "_part", value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    parts = values.groupBy(*cell, "_part").agg(F.sum("_n").alias("_rows")).join(cells_hit, cell)
-    upto = F.col("_before") + F.sum("_rows").over(Window.partitionBy(*cell).orderBy("_part"))
-    parts = parts.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_rows"))
-    parts = parts.where(hit(F.col("_before"), F.col("_upto"))).drop("_rows", "_upto")
-    values = values.join(parts, [*cell, "_part"])
-    in_part = Window.partitionBy(*cell, "_part").orderBy(value)
-    upto = F.col("_before") + F.sum("_n").over(in_part)
-    ordered = values.withColumn("_upto", upto).withColumn("_from", F.col("_upto") - F.col("_n"))
+    hit = [(r >= F.col("_before")) & (r < F.col("_upto")) for pair in ranks.values() for r in pair]
+    wanted = placed.where(reduce(Column.__or__, hit)).drop("_upto")
 
+    # Only the values of the wanted parts are put in order.
+    values = rows.select(*part, value, F.col(f"{STATE}._rows").alias("_n")).join(wanted, part)
+    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(*part).orderBy(value))
+    ordered = values.withColumn("_upto", upto).withColumn("_from", F.col("_upto") - F.col("_n"))
     ends = []
     for name, (low, high) in ranks.items():
         for end, rank in (("low", low), ("high", high)):
             here = (rank >= F.col("_from")) & (rank < F.col("_upto"))
             ends.append(F.max(F.when(here, F.col(value))).alias(f"_{name}_{end}"))
-    picked = ordered.groupBy(*groups, *totals).agg(*ends)
-
+    # All rows of a group carry the same totals, any of them will do.
+    same = [F.any_value(k).alias(k) for k in whole]
+    picked = ordered.groupBy(*groups).agg(*same, *ends)
     points = [
         _between(F.col(f"_{name}_low"), F.col(f"_{name}_high"), share).alias(name)
         for name, share in quantiles.items()
     ]
-    return picked.select(*groups, *totals, *points)
+    return picked.select(*by, *whole, *points)
+
+
+def _ranks(share: float) -> tuple[Column, Column]:
+    position = F.lit(share) * (F.col("_total") - 1)
+    return F.floor(position), F.ceil(position)
 
 
 def _between(low: Column, high: Column, share: float) -> Column:
@@ -174,6 +174,12 @@ def quantile(df: DataFrame, value: str, share: float, name: str) -> DataFrame:
     return grouped_summary(df, [], value, {name: share})
 
 
+def up_to_quantile(counts: DataFrame, value: str, share: float) -> DataFrame:
+    """The counts of the values that do not exceed the quantile of all rows."""
+    limit = summarize(counts, [], value, {"_limit": share})
+    return counts.where(F.col(value) <= limit.select("_limit").scalar())
+
+
 def trim_quantile(df: DataFrame, value: str, share: float) -> DataFrame:
     """Rows whose value does not exceed the quantile."""
     limit = quantile(df.select(value), value, share, "_limit")

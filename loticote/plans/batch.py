@@ -16,7 +16,6 @@ from pyspark.sql.types import DecimalType
 from loticote.functions import fixed_values as fixed
 from loticote.operators import cleaning, dashboard, index, profiles, quality, star, statistics
 from loticote.operators.quality import REASON, QualityParams
-from loticote.operators.summary import trim_quantile
 from loticote.session import clear_scratch, tune
 from loticote.sources import readers, writers
 from loticote.sources.schemas import LISTING, RAW_LISTING, RESULT_TABLES
@@ -26,11 +25,30 @@ STATS_KEYS = ("zone", *INDEX_KEYS)
 
 
 def ingest_sources(
-    spark: SparkSession, files: dict[str, str], fmt: str, out: str, **options: str
+    spark: SparkSession, files: dict[str, str], fmt: str, landing: str, **options: str
 ) -> None:
-    """Bring the file of every source into the raw folder as CSV, tagged with its name."""
+    """Bring the file of every source, in any format of Spark, into the landing folder, tagged with its name."""
     for source, path in files.items():
-        writers.write_csv(readers.ingest(spark, path, fmt, source, **options), f"{out}/{source}.csv")
+        writers.write_landing(readers.ingest(spark, path, fmt, source, **options), f"{landing}/{source}")
+
+
+def land_files(
+    spark: SparkSession,
+    raw: str,
+    landing: str,
+    sources: Sequence[str] = fixed.LISTING_SOURCES,
+    multiline: bool = True,
+) -> None:
+    """Parse the CSV files of all sources and the official values once, into the landing folder.
+
+    A file with quoted line breaks is parsed by one task; what is landed is text in Parquet, in files of
+    even size that split, so that no later step depends on how the files came.
+    """
+    for source in sources:
+        rows = readers.read_if_present(spark, f"{raw}/{source}.csv", source, RAW_LISTING, multiline)
+        writers.write_landing(rows, f"{landing}/{source}")
+    official = readers.read_official(spark, f"{raw}/valeursvenales.csv", multiline)
+    writers.write_landing(official, f"{landing}/valeursvenales")
 
 
 def clean(
@@ -40,15 +58,18 @@ def clean(
     sources: Sequence[str] = fixed.LISTING_SOURCES,
     params: QualityParams = QualityParams(),
     multiline: bool = True,
+    landed: bool = False,
 ) -> DataFrame:
     """Write tagged, valid, rejected and official rows; returns the quality report.
 
-    The tagged rows are stored once, in one folder per reason. Valid rows and rejects are then
-    read from their own folders instead of running the rules for every output.
+    ``raw`` holds CSV files, which are landed first, or with ``landed`` what ``ingest_sources`` and
+    ``land_files`` have landed. The tagged rows are stored once, in one folder per reason. Valid rows
+    and rejects are then read from their own folders instead of running the rules for every output.
     """
-    frames = [
-        readers.read_if_present(spark, f"{raw}/{s}.csv", s, RAW_LISTING, multiline) for s in sources
-    ]
+    landing = raw if landed else f"{out}/depot"
+    if not landed:
+        land_files(spark, raw, landing, sources, multiline)
+    frames = [readers.read_landed(spark, f"{landing}/{s}", s, RAW_LISTING) for s in sources]
     tagged = readers.union_sources([cleaning.tag_listings(f, params) for f in frames])
     # Rows of a reason meet in a few tasks first, so that a folder gets a few files and not one per task.
     writers.write_rejects(tagged.hint("rebalance", REASON), f"{out}/etiquetees")
@@ -60,9 +81,7 @@ def clean(
     writers.write_csv(read_valid(spark, out), f"{out}/annonces")
     writers.write_csv(rejected, f"{out}/annonces_rejetees")
 
-    official = cleaning.clean_official(
-        readers.read_official(spark, f"{raw}/valeursvenales.csv", multiline)
-    )
+    official = cleaning.clean_official(spark.read.parquet(f"{landing}/valeursvenales"))
     writers.write_parquet(official, f"{out}/venales_parquet")
     writers.write_csv(official, f"{out}/venales")
     return quality.stored_summary(read_valid(spark, out), rejected)
@@ -188,9 +207,7 @@ def dashboard_tables(
         "kpis": dashboard.kpis(stats, listings),
         "sources": views["sources"],
         "top_zones": dashboard.top_zones(stats),
-        "histogram": profiles.histogram(
-            trim_quantile(listings, "prix_m2", 0.95), "prix_m2", 50, "type_offre"
-        ),
+        "histogram": profiles.histogram(listings, "prix_m2", 50, "type_offre", trim=0.95),
         "market_vs_official": dashboard.market_vs_official(listings, views["official"]),
         "map": dashboard.map_points(stats),
         "dearest": dashboard.extreme_listings(listings, 10, highest=True),

@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import csv
 import logging
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DoubleType,
+    FloatType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 log = logging.getLogger(__name__)
 
@@ -19,10 +28,16 @@ log = logging.getLogger(__name__)
 # two; both are dropped and the source is set from the file that is read.
 SOURCE_HEADER = re.compile(r"^source\d*$", re.IGNORECASE)
 
+# Larger than any file: one task then gets one whole file, however small.
+ONE_FILE = 1 << 50
 
-def _csv_text(spark: SparkSession, path: str | list[str], multiline: bool) -> DataFrame:
+
+def _csv_text(
+    spark: SparkSession, path: str | list[str], multiline: bool, columns: StructType | None = None
+) -> DataFrame:
+    reader = spark.read if columns is None else spark.read.schema(columns)
     return (
-        spark.read.option("header", True)
+        reader.option("header", True)
         .option("multiLine", multiline)
         .option("quote", '"')
         .option("escape", '"')
@@ -31,20 +46,52 @@ def _csv_text(spark: SparkSession, path: str | list[str], multiline: bool) -> Da
     )
 
 
-def files_by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
-    """The files of a folder or list, grouped by their header line.
+def _first_record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The header of the one file of a task; the rest of the file is not read."""
+    file = None
+
+    def lines() -> Iterator[str]:
+        nonlocal file
+        for batch in batches:
+            for line, path in zip(batch.column("value"), batch.column("file")):
+                file = path.as_py()
+                yield line.as_py() + "\n"
+
+    for record in csv.reader(lines(), quotechar='"', doublequote=True):
+        if record:
+            yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([record])], names=["file", "header"])
+            return
+
 
-    Spark looks at the first line of each file only; some files are looked at side by side.
+def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, header): the fields of the first record of every file that has one.
+
+    One job, however many files there are: every file is one task, which ends after the first record, a
+    header with quoted line breaks included. The settings that give a file to a task are those of a
+    session of its own, so the caller's stay as they are.
     """
-    files = sorted(_csv_text(spark, path, False).inputFiles())
-    if len(files) < 2:
-        return [files]
-    with ThreadPool(16) as pool:
-        headers = pool.map(lambda f: tuple(_csv_text(spark, f, False).columns), files)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for header, file in zip(headers, files):
-        groups.setdefault(header, []).append(file)
-    return list(groups.values())
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(ONE_FILE))
+    own.conf.set("spark.sql.files.openCostInBytes", str(ONE_FILE))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    lines = own.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    return lines.mapInArrow(_first_record, "file string, header array<string>")
+
+
+def files_by_header(spark: SparkSession, path: str | list[str]) -> list[tuple[list[str], list[str]]]:
+    """The files of a folder or list, grouped by their header: (column names, files)."""
+    found = file_headers(spark, path).groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return sorted((list(row.header), list(row.files)) for row in found.collect())
+
+
+def header_schema(fields: Sequence[str]) -> StructType:
+    """Text columns named as Spark names them: an empty name and names that differ only in case get
+    their place."""
+    lower = [f.lower() for f in fields]
+    names = [
+        f"_c{i}" if not f else f"{f}{i}" if lower.count(f.lower()) > 1 else f for i, f in enumerate(fields)
+    ]
+    return StructType([StructField(name, StringType()) for name in names])
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
@@ -54,13 +101,14 @@ def read_csv_text(spark: SparkSession, path: str | list[str], multiline: bool =
     header, and a column that a file lacks is NULL in its rows. Files without any content add
     nothing. Nothing is inferred: inference costs a pass over the files and turns large prices into
     ``1.2E7``. An empty field is NULL. Quoted line breaks need ``multiline``, which parses each
-    file in one task, so large inputs should come as many files or, when free of line breaks,
-    with ``multiline=False``, which splits them.
+    file in one task; ``batch.land_files`` does this once and stores what it finds in a form that splits.
     """
     groups = files_by_header(spark, path)
-    if len(groups) == 1:
+    if not groups:
         return _csv_text(spark, path, multiline)
-    return union_sources([_csv_text(spark, group, multiline) for group in groups])
+    if len(groups) == 1:  # the folder itself, not the list of its files
+        return _csv_text(spark, path, multiline, header_schema(groups[0][0]))
+    return union_sources([_csv_text(spark, files, multiline, header_schema(fields)) for fields, files in groups])
 
 
 def read_listings(
@@ -99,6 +147,35 @@ def ingest(
     return spark.read.format(fmt).options(**options).load(path).withColumn("source", F.lit(source))
 
 
+def plain_text(df: DataFrame) -> DataFrame:
+    """Every column as text, nested ones as JSON. Fractional numbers are written out without an exponent,
+    which the price cleaning would read as further digits."""
+    columns = []
+    for field in df.schema.fields:
+        col = F.col(f"`{field.name.replace('`', '``')}`")
+        if isinstance(field.dataType, (FloatType, DoubleType)):
+            written = F.regexp_replace(col.try_cast("decimal(38,10)").cast("string"), r"\.?0+$", "")
+            text = F.when(F.abs(col) >= 1e7, written).otherwise(col.cast("string"))
+            text = F.when(col == F.floor(col), col.try_cast("decimal(38,0)").cast("string")).otherwise(text)
+        elif isinstance(field.dataType, (StructType, ArrayType, MapType)):
+            text = F.to_json(col)
+        else:
+            text = col.cast("string")
+        columns.append(text.alias(field.name))
+    return df.select(*columns)
+
+
+def read_landed(spark: SparkSession, path: str, source: str, schema: StructType) -> DataFrame:
+    """Landed rows of a source; none (and a warning) when nothing was landed."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log.warning("nothing landed for source %s at %s", source, path)
+        return spark.createDataFrame([], schema)
+
+
 def union_sources(frames: Iterable[DataFrame]) -> DataFrame:
     """Union by column name; a column missing in one source is NULL there."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)

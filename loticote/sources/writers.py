@@ -8,13 +8,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loticote.sources.readers import plain_text
 from loticote.sources.schemas import RESULT_TABLES, STAR
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 0) -> None:
     """Overwrite a CSV folder, UTF-8 with header; text reads back as written, empty text as NULL."""
     (
         df.write.mode("overwrite")
+        .option("maxRecordsPerFile", rows_per_file)
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
@@ -34,6 +36,11 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     )
 
 
+def write_landing(df: DataFrame, path: str) -> None:
+    """Overwrite the landed rows of a source: every column as text, files of even size."""
+    write_parquet(plain_text(df).hint("rebalance"), path)
+
+
 def write_rejects(df: DataFrame, path: str) -> None:
     write_parquet(df, path, ["raison_rejet"])
 

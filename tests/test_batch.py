@@ -181,7 +181,7 @@ def test_missing_source_is_an_empty_table(spark, out, tmp_path):
 def test_ingest_writes_one_tagged_file_per_source(spark, tmp_path):
     spark.range(3).withColumn("Prix", F.lit("5")).write.parquet(str(tmp_path / "in"))
     batch.ingest_sources(spark, {"immoask": str(tmp_path / "in")}, "parquet", str(tmp_path / "raw"))
-    back = readers.read_listings(spark, str(tmp_path / "raw" / "immoask.csv"), "immoask")
+    back = spark.read.parquet(str(tmp_path / "raw" / "immoask"))
     assert back.count() == 3 and set(back.columns) == {"id", "Prix", "source"}
 
 
