@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import views as v
-from checks.cleaning_queries import CLEAN, CLEAN_VALUES, tagged
+from checks.cleaning_queries import CLEAN, CLEAN_VALUES, tagged, title
 from checks.price_queries import GAP, OFFICIAL_MEAN, PERIODS, ZONE_MEAN, stored_stats
 from checks.registry import query
 from checks.star_queries import AT_LOAD, NOT_A_ZONE
@@ -65,11 +65,11 @@ def stored_index(spark: SparkSession, sf: str) -> DataFrame:
     view = v.listings(spark, sf, *columns).withColumn("id_zone", star.dim_key(F.col("zone")))
     yearly = statistics.zone_stats(view, batch.INDEX_KEYS, period="annee")
     root = scratch_path(spark, "results")
-    writers.write_periods(writers.conform(yearly, "statistiques_zone"), f"{root}/statistiques_zone")
+    writers.write_results(spark, {"statistiques_zone": yearly}, root)
     stored = writers.read_star_table(spark, root, "statistiques_zone")
     prices = index.storable_index(index.price_index(stored, batch.INDEX_KEYS, reference=None))
     for _ in range(2):  # the second run replaces the first
-        writers.write_periods(writers.conform(prices, "indice_immobilier"), f"{root}/indice_immobilier")
+        writers.write_results(spark, {"indice_immobilier": prices}, root)
     read = writers.read_star_table(spark, root, "indice_immobilier")
     names = view.select("id_zone", "zone").distinct()
     real = {c: F.col(c).cast("double") for c in ("prix_moyen_m2", "indice_valeur")}
@@ -94,9 +94,43 @@ def filtered_export(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def ranked(df: DataFrame, name: str, key: str, n: int) -> DataFrame:
+@query(
+    "filtered_export_listings",
+    STORED + f"""SELECT titre, zone, type_bien, CAST(prix AS DOUBLE) AS prix, prix_m2, {title("source")} AS source
+    FROM listings WHERE prix_m2 > 0 AND zone = 'nation_12' AND type_offre = 'VENTE'""",
+)
+def filtered_export_listings(spark: SparkSession, sf: str) -> DataFrame:
+    """The listings of one zone and offer, exported as CSV and read back."""
+    out = modelled(spark, sf)
+    to = scratch_path(spark, "export")
+    batch.export_filtered(spark, out, to, zone="nation_12", offer="VENTE")
+    read = readers.read_csv_text(spark, f"{to}/annonces")
+    numbers = {c: F.col(c).cast("double") for c in ("prix", "prix_m2")}
+    return read.withColumns(numbers).select("titre", "zone", "type_bien", "prix", "prix_m2", "source")
+
+
+# Prices far beyond what the columns hold, for the listings of two zones.
+HUGE_MEAN = "CASE WHEN zone IN ('nation_12', 'nation_19') THEN prix_moyen_m2 * 1e7 ELSE prix_moyen_m2 END"
+
+
+@query(
+    "refused_results",
+    with_(LISTINGS, STATS)
+    + """SELECT 'statistiques_zone' AS table_name, count(*) FILTER (zone NOT IN ('nation_12', 'nation_19'))
+    AS nb_lignes FROM stats
+    UNION ALL SELECT 'resultats_refuses', count(*) FILTER (zone IN ('nation_12', 'nation_19')) FROM stats""",
+)
+def refused_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Results that no column can hold are stored apart and counted; no value is lost silently."""
+    stats = stored_stats(spark, sf).withColumn("id_zone", star.dim_key(F.col("zone")))
+    root = scratch_path(spark, "results")
+    huge = stats.withColumn("prix_moyen_m2", F.expr(HUGE_MEAN))
+    return writers.count_table(spark, writers.write_results(spark, {"statistiques_zone": huge}, root))
+
+
+def ranked(df: DataFrame, name: str, key: str, n: int, *order: str | Column) -> DataFrame:
     """The first rows of an ordered output with their place in it."""
-    place = F.monotonically_increasing_id() + 1
+    place = F.row_number().over(Window.orderBy(*order)).cast("long")
     return df.limit(n).select(F.lit(name).alias("cadre"), place.alias("rang"), F.col(key).alias("cle"))
 
 
@@ -108,9 +142,11 @@ def ranked(df: DataFrame, name: str, key: str, n: int) -> DataFrame:
     UNION ALL SELECT 'sources', row_number() OVER (ORDER BY n DESC, source), source FROM per_source""",
 )
 def ordered_outputs(spark: SparkSession, sf: str) -> DataFrame:
-    zones = ranked(dashboard.top_zones(stored_stats(spark, sf)), "top_zones", "zone", 20)
+    top = dashboard.top_zones(stored_stats(spark, sf))
+    zones = ranked(top, "top_zones", "zone", 20, "prix_moyen_m2", "zone")
     rows = v.listings(spark, sf, "source").withColumn("id_source", star.dim_key(F.col("source")))
     rows = rows.withColumn("id", F.lit("x"))
     names = rows.select(F.col("id_source").alias("id"), F.col("source").alias("nom")).distinct()
     sources = star.listings_per_source(materialize(names, "names"), rows)
-    return zones.unionByName(ranked(sources, "sources", "source", 100))
+    most_first = [F.desc("nombre_annonces"), "source"]
+    return zones.unionByName(ranked(sources, "sources", "source", 100, *most_first))

@@ -227,8 +227,7 @@ def dashboard_filter(spark: SparkSession, sf: str) -> DataFrame:
     (SELECT count(*) FROM listings WHERE prix_m2 > 0) AS biens_uniques FROM stats""",
 )
 def kpi_summary(spark: SparkSession, sf: str) -> DataFrame:
-    priced = v.listings(spark, sf, "prix_m2").where(F.col("prix_m2") > 0)
-    return dashboard.kpis(stored_stats(spark, sf), priced).withColumn(
+    return dashboard.kpis(stored_stats(spark, sf)).withColumn(
         "prix_median_m2", F.rint(F.col("prix_median_m2") * 10000) / 10000
     )
 

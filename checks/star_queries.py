@@ -311,6 +311,5 @@ def star_refresh(spark: SparkSession, sf: str) -> DataFrame:
     # A second refresh replaces the first one and does not add to it.
     writers.refresh_star(spark, {"zone_geographique": base.zones}, root)
     stale = base.zones.select(F.col("id").alias("id_zone"), F.lit("2023").alias("periode"))
-    for name in RESULT_TABLES:
-        writers.write_periods(writers.conform(stale, name), f"{root}/{name}")
+    writers.write_results(spark, {name: writers.conform(stale, name) for name in RESULT_TABLES}, root)
     return writers.refresh_star(spark, tables, root)

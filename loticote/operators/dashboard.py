@@ -32,8 +32,18 @@ def apply_filters(
     return df
 
 
-def kpis(stats: DataFrame, listings: DataFrame, zone: str = "zone") -> DataFrame:
-    """Key figures of the page in one row."""
+def kpis(stats: DataFrame, listings: DataFrame | None = None, zone: str = "zone") -> DataFrame:
+    """Key figures of the page in one row.
+
+    The listings are counted from the statistics, in which each group has its number of listings; a group
+    that stands for several official values counts once. ``listings`` counts these rows instead.
+    """
+    if listings is None:
+        keys = [c for c in (zone, "type_bien", "type_offre", "periode") if c in stats.columns]
+        groups = stats.groupBy(*keys).agg(F.any_value("nombre_annonces").alias("_rows"))
+        unique = groups.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("_rows")).scalar()
+    else:
+        unique = listings.agg(F.count(F.lit(1)).alias("_rows")).scalar()
     medians = grouped_summary(
         stats.select("prix_median_m2"), [], "prix_median_m2", {"prix_median_m2": 0.5}
     )
@@ -44,7 +54,7 @@ def kpis(stats: DataFrame, listings: DataFrame, zone: str = "zone") -> DataFrame
     ).select(
         "*",
         medians.scalar().alias("prix_median_m2"),
-        listings.agg(F.count(F.lit(1)).alias("_rows")).scalar().alias("biens_uniques"),
+        unique.alias("biens_uniques"),
     )
 
 

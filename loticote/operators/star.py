@@ -25,6 +25,19 @@ def dim_key(name: Column) -> Column:
     return F.xxhash64(name)
 
 
+def key_clashes(dim: DataFrame) -> DataFrame:
+    """Keys that stand for more than one name, with these names."""
+    names = dim.groupBy("id").agg(F.count_distinct("nom").alias("_names"), F.min("nom").alias("a"), F.max("nom").alias("b"))
+    return names.where(F.col("_names") > 1).select("id", "a", "b")
+
+
+def require_distinct_keys(dim: DataFrame, name: str) -> None:
+    """Stop before two names that share a key would be taken for one."""
+    clash = key_clashes(dim).orderBy("id").first()
+    if clash:
+        raise ValueError(f"{name}: {clash.a!r} and {clash.b!r} have the same key {clash.id}")
+
+
 def listing_key(*identity: Column) -> Column:
     """128-bit key of a listing. The flags keep a NULL apart from an empty or shifted value."""
     parts = [F.coalesce(c.cast("string"), F.lit("")) for c in identity]
@@ -159,6 +172,19 @@ def tag_load(
     )
 
 
+def cluster_by_zone(tagged: DataFrame) -> DataFrame:
+    """Rows in ranges of zones, so that files and row groups without a wanted zone are skipped.
+
+    The listing's key follows the zone in the ranges: a zone with very many listings gets several files.
+    """
+    return tagged.repartitionByRange(SKIP_REASON, "id_zone", "id").sortWithinPartitions(SKIP_REASON, "id_zone")
+
+
+def in_zone(loaded: DataFrame, zone: str | None) -> DataFrame:
+    """Listings of one zone, found by its key: the filter needs no join and reaches the files."""
+    return loaded if zone is None else loaded.where(F.col("id_zone") == dim_key(F.lit(zone)))
+
+
 def split_load(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(loaded listings, skipped ones with their reason); together all that was given."""
     loaded = tagged.where(F.col(SKIP_REASON).isNull()).drop("zone", "source", SKIP_REASON)

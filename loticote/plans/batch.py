@@ -16,9 +16,10 @@ from pyspark.sql.types import DecimalType
 from loticote.functions import fixed_values as fixed
 from loticote.operators import cleaning, dashboard, index, profiles, quality, star, statistics
 from loticote.operators.quality import REASON, QualityParams
-from loticote.session import clear_scratch, tune
+from loticote.session import clear_scratch, materialize, tune
 from loticote.sources import readers, writers
-from loticote.sources.schemas import LISTING, RAW_LISTING, RESULT_TABLES
+from loticote.sources.schemas import LISTING, RAW_LISTING
+from loticote.sources.versions import Refresh, committed, prune
 
 INDEX_KEYS = ("id_zone", "type_bien", "type_offre")
 STATS_KEYS = ("zone", *INDEX_KEYS)
@@ -91,64 +92,63 @@ def read_valid(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(LISTING).parquet(f"{out}/annonces_parquet")
 
 
-def read_loaded(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+def read_loaded(spark: SparkSession, out: str, zone: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(loaded listings, skipped ones with their reason) as the load has stored them."""
-    return star.split_load(spark.read.parquet(f"{out}/etoile/chargement"))
+    path = committed(spark, f"{out}/etoile")["chargement"]
+    loaded, skipped = star.split_load(spark.read.parquet(path))
+    return star.in_zone(loaded, zone), skipped
 
 
 def model(spark: SparkSession, out: str) -> DataFrame:
-    """Build the star schema from the clean tables; returns stored rows per table.
+    """Build the star schema from the clean tables; returns the rows written per table.
 
     Listings and official values that cannot be loaded are stored with their reason and counted
-    as ``annonces_ignorees`` and ``valeurs_ignorees``: loaded and skipped rows are all rows given.
-    Results that were computed from an earlier star are removed.
+    as ``annonces_ignorees`` and ``valeurs_ignorees``: loaded and skipped rows are all rows given. All
+    counts are taken while the tables are written. The new star is taken into use as a whole when its last
+    table is written; results that were computed from an earlier star are removed with it.
     """
     listings = read_valid(spark, out)
     official = spark.read.parquet(f"{out}/venales_parquet")
     rejected = spark.read.parquet(f"{out}/etiquetees").where(F.col(REASON).isNotNull())
-    root = f"{out}/etoile"
 
-    writers.refresh_star(spark, {"source_donnees": star.dim_source(listings)}, root)
-    writers.write_parquet(star.dim_zone(listings), f"{root}/zones_annonces")
-    listed = spark.read.parquet(f"{root}/zones_annonces")
-    writers.refresh_star(spark, {"zone_geographique": star.upsert_zones(listed, official)}, root)
-    sources = writers.read_star_table(spark, root, "source_donnees")
-    zones = writers.read_star_table(spark, root, "zone_geographique")
-
-    tagged = star.tag_load(listings, zones, sources)
-    writers.write_parquet(tagged.hint("rebalance", star.SKIP_REASON), f"{root}/chargement", [star.SKIP_REASON])
-    loaded, skipped = read_loaded(spark, out)
-    refused = star.split_official(official)[1]
-    writers.write_parquet(refused, f"{root}/valeurs_ignorees")
-    facts = {
-        "annonce": star.fact_listing(loaded),
-        "bien_immobilier": star.dim_property(loaded),
-        "valeur_venale": star.fact_official(official, zones, listed),
-        "annonces_rejetees": star.rejects_table(rejected),
-    }
-    writers.refresh_star(spark, facts, root)
-    counts = writers.star_counts(
-        spark, ["source_donnees", "zone_geographique", *facts, *RESULT_TABLES], root
-    )
-    for name, df in (
-        ("annonces_ignorees", skipped),
-        ("valeurs_ignorees", spark.read.schema(refused.schema).parquet(f"{root}/valeurs_ignorees")),
-    ):
-        counted = df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("nb_lignes"))
-        counts = counts.unionByName(counted)
-    return counts
-
-
-def read_views(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    """The views the analysis works on, from the stored star."""
+    with Refresh(spark, f"{out}/etoile") as new:
+        counts = writers.write_star(new, {"source_donnees": star.dim_source(listings)})
+        new.write("zones_annonces", star.dim_zone(listings))
+        listed = spark.read.parquet(new.path("zones_annonces"))
+        counts |= writers.write_star(new, {"zone_geographique": star.upsert_zones(listed, official)})
+        sources = writers.read_folder(spark, new.path("source_donnees"), "source_donnees")
+        zones = writers.read_folder(spark, new.path("zone_geographique"), "zone_geographique")
+        star.require_distinct_keys(sources, "source_donnees")
+        star.require_distinct_keys(zones, "zone_geographique")
+
+        tagged = star.cluster_by_zone(star.tag_load(listings, zones, sources))
+        ignored = {"ignored": F.count_if(F.col(star.SKIP_REASON).isNotNull())}
+        load = new.write("chargement", tagged, [star.SKIP_REASON], ignored)
+        loaded = star.split_load(spark.read.schema(tagged.schema).parquet(new.path("chargement")))[0]
+        facts = {
+            "annonce": star.fact_listing(loaded),
+            "bien_immobilier": star.dim_property(loaded),
+            "valeur_venale": star.fact_official(official, zones, listed),
+            "annonces_rejetees": star.rejects_table(rejected),
+        }
+        counts |= writers.write_star(new, facts)
+        counts |= writers.clear_results(new)
+        refused = new.write("valeurs_ignorees", star.split_official(official)[1])
+        counts |= {"annonces_ignorees": load["ignored"], "valeurs_ignorees": refused["rows"]}
+    return writers.count_table(spark, counts)
+
+
+def read_views(spark: SparkSession, out: str, zone: str | None = None) -> dict[str, DataFrame]:
+    """The views the analysis works on, from the stored star; listings of one zone if it is given."""
     root = f"{out}/etoile"
     loaded = read_loaded(spark, out)[0]
+    chosen = star.in_zone(loaded, zone)
     zones = writers.read_star_table(spark, root, "zone_geographique")
     sources = writers.read_star_table(spark, root, "source_donnees")
     official = writers.read_star_table(spark, root, "valeur_venale")
     return {
-        "zones": star.zone_view(loaded, zones),
-        "listings": star.listing_view(loaded, zones, sources),
+        "zones": star.zone_view(chosen, zones),
+        "listings": star.listing_view(chosen, zones, sources),
         "official": star.official_view(official, zones),
         "sources": star.listings_per_source(sources, loaded),
     }
@@ -159,26 +159,24 @@ def measure(
     out: str,
     per_official_row: bool = False,
     index_keys: Sequence[str] = INDEX_KEYS,
-) -> None:
-    """Store statistics with their gap to official values, then the index built on them.
+) -> DataFrame:
+    """Store statistics with their gap to official values and the index built on them, in one commit.
 
     One row per statistic and one per index value. ``per_official_row`` stores a statistic once
     for every official row of its zone, and ``index_keys`` without the offer compares every offer
-    of a zone and type with every other; both multiply rows.
+    of a zone and type with every other; both multiply rows. Rows with a number that no column can hold
+    are stored as ``resultats_refuses``. Returns the rows written per table.
     """
     views = read_views(spark, out)
-    root = f"{out}/etoile"
     stats = statistics.zone_stats(views["zones"], STATS_KEYS)
     official = views["official"].select("zone", "prix_m2_officiel")
     gaps = statistics.official_gap(stats, official, aggregate=not per_official_row)
-    writers.write_periods(
-        writers.conform(gaps, "statistiques_zone", strict=False), f"{root}/statistiques_zone"
-    )
-    stored = writers.read_star_table(spark, root, "statistiques_zone")
+    gaps = materialize(gaps, "gaps")
+    # The index is that of the statistics that are stored.
+    stored = writers.split_results(gaps, "statistiques_zone")[0]
     prices = index.storable_index(index.price_index(stored, index_keys))
-    writers.write_periods(
-        writers.conform(prices, "indice_immobilier", strict=False), f"{root}/indice_immobilier"
-    )
+    results = {"statistiques_zone": gaps, "indice_immobilier": prices}
+    return writers.count_table(spark, writers.write_results(spark, results, f"{out}/etoile"))
 
 
 def read_statistics(spark: SparkSession, out: str) -> DataFrame:
@@ -198,13 +196,13 @@ def dashboard_tables(
     offer: str | None = None,
 ) -> dict[str, DataFrame]:
     """Every table of the dashboard under the chosen filters."""
-    views = read_views(spark, out)
+    views = read_views(spark, out, zone)
     stats = dashboard.apply_filters(read_statistics(spark, out), zone, types, offer)
     listings = dashboard.apply_filters(views["listings"], zone, types, offer)
     by_zone = statistics.index_by_type_zone(views["zones"])
     by_zone = dashboard.apply_filters(by_zone, zone, types, offer, zone_column="zone_nom")
     return {
-        "kpis": dashboard.kpis(stats, listings),
+        "kpis": dashboard.kpis(stats),
         "sources": views["sources"],
         "top_zones": dashboard.top_zones(stats),
         "histogram": profiles.histogram(listings, "prix_m2", 50, "type_offre", trim=0.95),
@@ -226,7 +224,8 @@ def export_filtered(
     offer: str | None = None,
 ) -> None:
     """Write the chosen statistics and listings as CSV folders."""
-    frames = {"statistiques": read_statistics(spark, out), "annonces": read_views(spark, out)["listings"]}
+    listings = read_views(spark, out, zone)["listings"]
+    frames = {"statistiques": read_statistics(spark, out), "annonces": listings}
     for name, df in frames.items():
         writers.write_csv(dashboard.apply_filters(df, zone, types, offer), f"{to}/{name}")
 
@@ -240,7 +239,8 @@ def main() -> None:
     spark = tune(SparkSession.builder.appName("loticote").getOrCreate())
     clean(spark, args.raw, args.out, multiline=not args.single_line).show(truncate=False)
     model(spark, args.out).show(truncate=False)
-    measure(spark, args.out)
+    measure(spark, args.out).show(truncate=False)
+    prune(spark, f"{args.out}/etoile")
     clear_scratch(spark)
     spark.stop()
 
