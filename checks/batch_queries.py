@@ -109,6 +109,18 @@ def filtered_export_listings(spark: SparkSession, sf: str) -> DataFrame:
     return read.withColumns(numbers).select("titre", "zone", "type_bien", "prix", "prix_m2", "source")
 
 
+@query(
+    "bucketed_zone_view",
+    STORED + """SELECT titre, zone, type_bien, type_offre, prix_m2 FROM listings WHERE prix_m2 > 0""",
+)
+def bucketed_zone_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings joined to their zones from tables stored in the same buckets."""
+    out = modelled(spark, sf)
+    batch.store_buckets(spark, out, buckets=16, slices=4)
+    view = batch.bucketed_zone_view(spark, out)
+    return view.select("titre", "zone", "type_bien", "type_offre", F.col("prix_m2").cast("double").alias("prix_m2"))
+
+
 # Prices far beyond what the columns hold, for the listings of two zones.
 HUGE_MEAN = "CASE WHEN zone IN ('nation_12', 'nation_19') THEN prix_moyen_m2 * 1e7 ELSE prix_moyen_m2 END"
 

@@ -273,14 +273,29 @@ def rejects_table(
     return rejected.select(*[cut_text(c, widths.get(c)) for c in [*order, "raison_rejet"]])
 
 
+SLICE = "tranche"
+
+
+def sliced_listings(loaded: DataFrame, slices: int) -> DataFrame:
+    """Listings with a number that spreads the listings of one zone over some slices."""
+    return loaded.withColumn(SLICE, F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
+
+
+def sliced_zones(zones: DataFrame, slices: int) -> DataFrame:
+    """Every zone once for each slice, so that a zone's listings find it wherever they are."""
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
+    return zones.select("*", numbers.alias(SLICE))
+
+
 def _priced(df: DataFrame) -> DataFrame:
     return df.where(F.col("prix_m2") > 0)
 
 
 def zone_view(loaded: DataFrame, zones: DataFrame) -> DataFrame:
-    """Priced listings with property columns and zone name."""
-    names = zones.select(F.col("id").alias("id_zone"), F.col("nom").alias("zone"))
-    return _priced(loaded).join(names, "id_zone")
+    """Priced listings with property columns and zone name; sliced tables meet slice by slice."""
+    keys = [c for c in ("id_zone", SLICE) if c == "id_zone" or c in loaded.columns]
+    names = zones.withColumnsRenamed({"id": "id_zone", "nom": "zone"}).select("zone", *keys)
+    return _priced(loaded).join(names, keys).drop(SLICE)
 
 
 def listing_view(loaded: DataFrame, zones: DataFrame, sources: DataFrame) -> DataFrame:

@@ -19,10 +19,11 @@ from loticote.operators.quality import REASON, QualityParams
 from loticote.session import clear_scratch, materialize, tune
 from loticote.sources import readers, writers
 from loticote.sources.schemas import LISTING, RAW_LISTING
-from loticote.sources.versions import Refresh, committed, prune
+from loticote.sources.versions import Refresh, committed, prune, read_buckets, write_buckets
 
 INDEX_KEYS = ("id_zone", "type_bien", "type_offre")
 STATS_KEYS = ("zone", *INDEX_KEYS)
+BUCKET_KEYS = ("id_zone", star.SLICE)
 
 
 def ingest_sources(
@@ -154,6 +155,32 @@ def read_views(spark: SparkSession, out: str, zone: str | None = None) -> dict[s
     }
 
 
+def store_buckets(spark: SparkSession, out: str, buckets: int, slices: int = 1) -> None:
+    """Store listings and zones once more, in the same buckets of zone and slice, for repeated joins.
+
+    Worth it when the zones are too many to be broadcast and the join is made often: the listings are
+    shuffled here and not in each join. A zone is spread over ``slices`` buckets, and the zones are stored
+    as many times.
+    """
+    with Refresh(spark, f"{out}/etoile") as new:
+        zones = writers.read_folder(spark, new.path("zone_geographique"), "zone_geographique")
+        loaded = star.sliced_listings(star.split_load(spark.read.parquet(new.path("chargement")))[0], slices)
+        named = star.sliced_zones(zones, slices).withColumnRenamed("id", "id_zone").select("id_zone", "nom", star.SLICE)
+        for name, df in (("annonces_par_zone", loaded), ("noms_par_zone", named)):
+            write_buckets(df, new.place(name, f"-{buckets}"), BUCKET_KEYS, buckets)
+
+
+def bucketed_zone_view(spark: SparkSession, out: str) -> DataFrame:
+    """The zone view from the buckets: listings and zones meet bucket by bucket, without a shuffle."""
+    tables = committed(spark, f"{out}/etoile")
+
+    def read(name: str) -> DataFrame:
+        path = tables[name]
+        return read_buckets(spark, path, spark.read.parquet(path).schema, BUCKET_KEYS, int(path.rsplit("-", 1)[1]))
+
+    return star.zone_view(read("annonces_par_zone"), read("noms_par_zone"))
+
+
 def measure(
     spark: SparkSession,
     out: str,

@@ -7,12 +7,14 @@ that have started on them.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 COMMITS = "_commits"
 VERSIONS = "_versions"
@@ -97,6 +99,11 @@ class Refresh:
         """The folder of a table as this refresh sees it: its own version, else the committed one."""
         return f"{self.root}/{self.tables[name]}"
 
+    def place(self, name: str, suffix: str = "") -> str:
+        """Give a table a folder in the new version."""
+        self.tables[name] = f"{self.version}/{name}{suffix}"
+        return self.path(name)
+
     def write(
         self,
         name: str,
@@ -111,7 +118,7 @@ class Refresh:
         metrics = {"rows": F.count(F.lit(1))} | dict(counts or {})
         observation = Observation(f"{name}-{uuid.uuid4().hex}")
         observed = df.observe(observation, *(c.alias(k) for k, c in metrics.items()))
-        self.tables[name] = f"{self.version}/{name}"
+        self.place(name)
         mode = "append" if name in self.written else "overwrite"
         self.written.append(name)
         (
@@ -124,6 +131,35 @@ class Refresh:
         return {k: int(found.get(k) or 0) for k in metrics}
 
 
+def write_buckets(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Write rows in ``buckets`` files by the hash of ``keys``, each in the order of the keys."""
+    spark, name = df.sparkSession, f"loticote_{uuid.uuid4().hex}"
+    (
+        df.repartition(buckets, *keys)
+        .write.format("parquet")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", path)
+        .saveAsTable(name)
+    )
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+
+
+def read_buckets(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Read what ``write_buckets`` has written; joins and groups by the keys then need no shuffle.
+
+    The table is declared in the catalog of the session, which need not outlive it.
+    """
+    name = f"loticote_{hashlib.md5(path.encode()).hexdigest()}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    by = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
+
+
 def prune(spark: SparkSession, root: str, keep: int = 2) -> None:
     """Delete commits but the newest ``keep``, and version folders that none of these names."""
     commits = _Folder(spark, f"{root}/{COMMITS}")

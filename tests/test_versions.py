@@ -160,3 +160,35 @@ def test_listings_are_counted_from_statistics(spark):
     assert (row.biens_uniques, row.annonces_analysees, row.prix_median_m2) == (7, 12, 10.0)
     assert dashboard.kpis(stats, spark.range(9)).first().biens_uniques == 9
     assert set(STAR) >= set(RESULT_TABLES)
+
+
+def test_bucketed_join_has_no_exchange(spark, tmp_path):
+    root = f"{tmp_path}/out/etoile"
+    zones = spark.range(500).select(
+        star.dim_key(F.concat(F.lit("z"), "id")).alias("id"), F.concat(F.lit("z"), "id").alias("nom")
+    )
+    # A third of all listings lies in one zone.
+    number = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500)
+    loaded = spark.range(6000).select(
+        F.col("id").cast("string").alias("id"),
+        star.dim_key(F.concat(F.lit("z"), number)).alias("id_zone"),
+        F.lit(5.0).alias("prix_m2"),
+        F.lit(None).cast("string").alias("zone"),
+        F.lit(None).cast("string").alias("source"),
+        F.lit(None).cast("string").alias(star.SKIP_REASON),
+    )
+    with Refresh(spark, root) as new:
+        writers.write_star(new, {"zone_geographique": zones})
+        new.write("chargement", loaded)
+    batch.store_buckets(spark, f"{tmp_path}/out", buckets=8, slices=4)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        view = batch.bucketed_zone_view(spark, f"{tmp_path}/out")
+        counts = {r.zone: r["count"] for r in view.groupBy("zone").count().collect()}
+        view.collect()
+        plan = view._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert sum(counts.values()) == 6000 and counts["z7"] >= 2000
