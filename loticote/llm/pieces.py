@@ -26,6 +26,8 @@ from loticote.llm.common import gathered, runs, strings, text_rows
 
 SPACE = "▁"
 CHAR_BITS = 16
+# New words are indexed in slices of about this many characters.
+SLICE_CHARS = 300_000
 
 
 def merge_all(symbols: list[int], merges: dict[tuple[int, int], int], rank: np.ndarray) -> tuple[list[int], tuple]:
@@ -243,10 +245,22 @@ class Encoder:
         return low
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Piece ids of all words, one after another, and the n + 1 borders."""
-        table = self.table
-        if not words:
+        """Piece ids of all words, one after another, and the n + 1 borders.
+
+        Words are indexed in slices of about SLICE_CHARS characters: the keys, edges and orders of a slice
+        take some hundred times its characters, and nothing of it is kept.
+        """
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        slices = (np.cumsum(lengths + 1) - 1) // SLICE_CHARS
+        cuts = np.searchsorted(slices, np.arange(int(slices[-1]) + 2)) if len(words) else np.zeros(1, np.int64)
+        parts = [self.encode_slice(words[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()) if a < b]
+        if not parts:
             return np.zeros(0, np.int64), np.zeros(1, np.int64)
+        counts = np.concatenate([np.diff(borders) for _, borders in parts])
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate(([0], np.cumsum(counts)))
+
+    def encode_slice(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        table = self.table
         points = np.frombuffer("\x00".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         begins = np.concatenate(([0], np.cumsum(lengths + 1)))[:-1]
@@ -411,7 +425,7 @@ def encode_texts(
     model_file: str,
     id_col: str = "doc_id",
     text_col: str = "text",
-    batch_bytes: int = 8 << 20,
+    batch_bytes: int = 3 << 20,
     memory_words: int = 300_000,
 ) -> DataFrame:
     """``doc_id, n_tokens, ids, round_trip`` of every row.
