@@ -16,12 +16,39 @@ from pyspark.sql import functions as F
 MIN_BUCKETS = 512
 BUCKET_TEXT = 2 << 20
 BLOCK_IDS = 512
-
-
-def block_of(id_col: str = "doc_id", ids: int = BLOCK_IDS) -> Column:
-    """Documents with neighbouring ids share a block; files are mostly written in this order, so that a
-    task meets most of a block at once. Any other order gives more messages and the same answers."""
-    return F.coalesce(F.floor(F.col(id_col) / ids), F.lit(-1)).cast("long")
+LONG_TEXT = 128 << 10
+HOT_IDS = 1000
+
+
+def block_of(
+    rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", ids: int = BLOCK_IDS, long_text: int = LONG_TEXT
+) -> Column:
+    """The block of each row; rows with the same id and text share it, whatever reads them.
+
+    Documents with neighbouring ids share a block; files are mostly written in this order, so that a
+    task meets most of a block at once. Any other order gives more messages and the same answers. Rows
+    whose id does not spread them are dealt by a digest of id and text instead, about ``ids`` to a block: those
+    without an id and those of an id that more than ``ids`` rows have. If there are more than HOT_IDS such
+    ids, all rows are dealt so. A text of ``long_text`` bytes or more has a block of its own, so a block
+    of neighbours holds less than ``ids * long_text`` bytes and a few rows more for each repeated id.
+    """
+    counts = rows.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > ids) | F.col(id_col).isNull())
+    total, hot = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
+    col, text = F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))
+    digest = F.xxhash64(col, text)
+    if (hot or 0) > HOT_IDS:
+        spread = F.lit(True)
+        total = rows.count()
+    else:
+        spread = col.isNull() | col.isin([r[0] for r in counts.select(id_col).collect() if r[0] is not None])
+    dealt = F.pmod(digest, F.lit(-(-(total or 1) // ids))) + 1
+    alone = F.pmod(digest, F.lit(1 << 61)) + (1 << 61)
+    return (
+        F.when(F.octet_length(text) >= long_text, -alone)
+        .when(spread, -dealt)
+        .otherwise(F.floor(col / ids))
+        .cast("long")
+    )
 
 
 def bucket_bits(rows: DataFrame, text_col: str = "text") -> int:

@@ -21,21 +21,29 @@ def byte_values(seed: int) -> np.ndarray:
     return mix(np.arange(256, dtype=np.uint64) * np.uint64(BASE) + np.uint64((seed + 1) * 0x632BE59BD9B4E019 % 2**64))
 
 
+# Powers kept for the next batch, of each of a few bases; longer ones are made again.
+KEPT_POWERS = 1 << 20
 _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1), modulo 2 ** 64; kept for the next batch."""
+    """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        out = np.full(n, base, np.uint64)
+        out = np.full(max(n, KEPT_POWERS), base, np.uint64)
         out[:1] = 1
-        have = _powers[base] = np.multiply.accumulate(out)
+        have = np.multiply.accumulate(out)
+        if len(have) == KEPT_POWERS:
+            _powers[base] = have
     return have[:n]
 
 
 class Pieces:
-    """Polynomial hashes of any pieces [start, end) of the data."""
+    """Polynomial hashes of any pieces [start, end) of the data.
+
+    Modulo 2 ** 64 some long periodic pieces collide under every base (a Thue-Morse word of 1 024 bytes and
+    its complement), so this is for pieces of some hundred bytes; ``digests`` has no such pairs.
+    """
 
     def __init__(self, data: np.ndarray, seed: int = 0):
         base = (BASE + 2 * seed * 0x1000193) | 1

@@ -267,6 +267,7 @@ def detect_language(
     label_col: str = "lang",
     sample_rows: int = 150,
     sample_chars: int = 20_000,
+    max_labels: int = 200,
     bits: int = 16,
     rounds: int = 25,
     switch: float = 0.15,
@@ -279,7 +280,8 @@ def detect_language(
 
     The field is fitted on at most ``sample_rows`` labelled rows of each label, those with the smallest hash
     of id and text among rows of at most ``sample_chars`` characters whose crc32(id) mod 4 is not 2; the others are
-    held out. A prediction reads the text alone. ``score`` is the mean probability of the predicted label
+    held out. Rows that repeat id, text and label count once there. Of more than ``max_labels`` labels those with
+    the most such rows are learned, ties by name; this bounds what is fitted on the driver. A prediction reads the text alone. ``score`` is the mean probability of the predicted label
     over the words, ``n_switches`` the changes of the likeliest label from word to word. Texts that are NULL
     or hold no letter get ``und`` and 0; so do all when no row is labelled. NULL ids count as not
     held out; ties go to the label that sorts first; repeated rows repeat; an empty table gives no rows.
@@ -294,15 +296,19 @@ def detect_language(
     kept = [f"keep_{c}" for c in keep]
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     able = rows.where(~held_out & F.col("label").isNotNull() & (F.length("text") <= sample_chars))
-    # Ranked by the hash of the id alone, so that only the chosen texts travel.
-    mark = F.xxhash64("doc_id", F.length("text"))
+    # Ranked by a hash, so that only the chosen texts travel; each label has its own limit.
+    mark = F.xxhash64("doc_id", "text")
     order = Window.partitionBy("label").orderBy("mark")
-    ranked = able.select("label", mark.alias("mark")).withColumn("r", F.row_number().over(order))
-    limits = {r.label: r.top for r in ranked.where(F.col("r") <= sample_rows).groupBy("label").agg(F.max("mark").alias("top")).collect()}
+    marks = able.select("label", mark.alias("mark")).distinct()
+    common = marks.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(max_labels)
+    ranked = marks.withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample_rows)
+    tops = ranked.groupBy("label").agg(F.max("mark").alias("top")).join(common.select("label"), "label")
+    limits = {r.label: r.top for r in tops.collect()}
     chosen = F.lit(False)
     for label, top in limits.items():
         chosen = chosen | ((F.col("label") == label) & (mark <= top))
-    sample = able.where(chosen).orderBy("label", mark, "text").limit(sample_rows * max(1, len(limits))).collect() if limits else []
+    one = able.where(chosen).groupBy("label", mark.alias("mark")).agg(F.min("text").alias("text"))
+    sample = one.orderBy("label", "mark").collect() if limits else []
     field = fit([(r.text, r.label) for r in sample], bits, rounds, switch, strength)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -408,7 +408,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         raise ValueError("length has to be at least 32")
     rows = df.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
-    ).withColumn("block", exchange.block_of())
+    )
+    rows = rows.withColumn("block", exchange.block_of(rows))
     bits = exchange.bucket_bits(rows)
     asked = rows.select("block", "text").mapInArrow(ask_phrases(bits, length), exchange.MESSAGE)
     answers = exchange.repeated(asked)

@@ -5,7 +5,9 @@ Everything is a column expression or a grouped aggregate; there is no Python on
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loticote.session import materialize
@@ -31,25 +33,30 @@ def spans_of(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
     gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(whole))
-    lengths = F.zip_with(gaps, whole, lambda a, b: F.struct(F.length(a).alias("gap"), F.length(b).alias("n")))
-    parts = F.zip_with(lengths, value, lambda s, v: F.struct(s["gap"].alias("gap"), s["n"].alias("n"), v.alias("value")))
-
-    def step(done: Column, part: Column) -> Column:
-        start = done["place"] + part["gap"]
-        span = F.struct(
-            start.alias("start"),
-            F.lit(kind).alias("kind"),
-            (start + part["n"]).alias("end"),
-            part["value"].alias("value"),
-        )
-        return F.struct(
-            (start + part["n"]).alias("place"), F.concat(done["spans"], F.array(span)).alias("spans")
-        )
-
-    empty = F.array().cast(SPAN)
-    none = F.struct(F.lit(0).alias("place"), empty.alias("spans"))
-    found = F.aggregate(parts, none, step, lambda done: done["spans"])
-    return F.when(text.rlike(pattern), found).otherwise(empty)
+    ends = running(F.zip_with(gaps, whole, lambda a, b: F.length(a) + F.length(b)), lambda a, b: a + b)
+    placed = F.zip_with(ends, whole, lambda end, match: F.struct((end - F.length(match)).alias("start"), end.alias("end")))
+    found = F.zip_with(
+        placed,
+        value,
+        lambda s, v: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end"), v.alias("value")),
+    )
+    return F.when(text.rlike(pattern), found.cast(SPAN)).otherwise(F.array().cast(SPAN))
+
+
+def running(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """Every value merged with all before it (sums, maxima).
+
+    In each round a value takes in the one that stands 1, 2, 4, ... places before it, so n values take log2(n)
+    rounds over the array, where a fold that appends to an array would copy it n times.
+    """
+
+    def round_(have: Column, power: Column) -> Column:
+        shift = F.call_function("shiftleft", F.lit(1), power)
+        before = F.concat(F.transform(F.sequence(F.lit(1), shift), lambda _: F.lit(None).cast("int")), F.slice(have, F.lit(1), F.size(have) - shift))
+        return F.zip_with(have, before, lambda a, b: F.when(b.isNull(), a).otherwise(merge(a, b)))
+
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(values))).cast("int") - 1)
+    return F.when(F.size(values) < 2, values).otherwise(F.aggregate(rounds, values, round_))
 
 
 def base_spans(text: Column) -> Column:
@@ -74,6 +81,21 @@ def looks_live(value: Column) -> Column:
     )
 
 
+def outside_base(found: DataFrame) -> DataFrame:
+    """Base spans, and those long runs that no base span of their row overlaps.
+
+    A run overlaps one if the latest end of the base spans that start before its own end lies behind its start:
+    one running maximum over the spans of a row.
+    """
+    base = F.col("span.kind") < 3
+    place = F.when(base, F.col("span.start")).otherwise(F.col("span.end"))
+    # A base span that starts where a run ends comes after it.
+    so_far = Window.partitionBy("row").orderBy(place, base.cast("int")).rowsBetween(Window.unboundedPreceding, 0)
+    reached = F.max(F.when(base, F.col("span.end"))).over(so_far)
+    marked = found.withColumn("reached", F.coalesce(reached, F.lit(0)))
+    return marked.where(base | (F.col("reached") <= F.col("span.start"))).drop("reached")
+
+
 def ownership(found: DataFrame) -> DataFrame:
     """Distinct repositories and owners of every candidate value, by its hash."""
     return found.groupBy("hash").agg(
@@ -120,11 +142,8 @@ def scan(
     )
     # The row number only has to be the same in all later reads, so it is written with the rows.
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "secret-spans")
-    apart = lambda s: ~F.exists(F.col("base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    candidates = F.concat("base", F.filter("more", apart))
-    found = rows.select("row", "repo", "owner", F.explode(candidates).alias("span")).withColumn(
-        "hash", F.sha2(F.col("span.value"), 256)
-    )
+    found = rows.select("row", "repo", "owner", F.explode(F.concat("base", "more")).alias("span"))
+    found = outside_base(found).withColumn("hash", F.sha2(F.col("span.value"), 256))
     judged = found.select("row", "span", "hash").join(ownership(found), "hash")
     live = looks_live(F.col("span.value")) & (F.col("n_owners") < example_owners)
     judged = judged.withColumn("live", live).where((F.col("span.kind") < 3) | F.col("live") | (F.col("n_owners") >= example_owners))
@@ -151,20 +170,28 @@ def scan(
 
 
 def masked(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """The text with every span replaced; spans that overlap are replaced once."""
-
-    def step(done: Column, span: Column) -> Column:
-        gap = F.substring(text, done["place"] + 1, span["start"] - done["place"])
-        part = F.when(span["start"] < done["place"], "").otherwise(F.concat(gap, F.lit(mask)))
-        return F.struct(
-            F.greatest(done["place"], span["end"]).alias("place"), F.concat(done["out"], part).alias("out")
-        )
-
-    none = F.struct(F.lit(0).alias("place"), F.lit("").alias("out"))
-    folded = F.aggregate(
-        F.array_sort(spans), none, step, lambda d: F.concat(d["out"], F.substring(text, d["place"] + 1, F.length(text)))
-    )
-    return F.when(F.size(spans) > 0, folded).otherwise(text)
+    """The text with every span replaced; spans that overlap are replaced once.
+
+    Parts are cut from the text in four bytes a character, where a place is found without a walk; arrays are
+    bound as lambda variables, so that they are made once and not for every span.
+    """
+    wide = F.struct(F.encode(text, "UTF-32").alias("bytes"), F.array_sort(spans).alias("spans"))
+
+    def part(whole: Column, start: Column, end: Column | None = None) -> Column:
+        size = F.octet_length(whole) if end is None else (end - start) * 4
+        return F.decode(F.substring(whole, start * 4 + 1, size), "UTF-32")
+
+    def replaced(row: Column) -> Column:
+        # Where the text goes on after all spans before: the running maximum of their ends.
+        ends = running(F.transform(row["spans"], lambda s: s["end"]), F.greatest)
+        from_ = F.concat(F.array(F.lit(0)), ends)
+        placed = F.zip_with(row["spans"], F.slice(from_, F.lit(1), F.size(row["spans"])),
+                            lambda s, after: F.struct(s["start"].alias("start"), after.alias("after")))
+        kept = F.filter(placed, lambda p: p["start"] >= p["after"])
+        parts = F.transform(kept, lambda p: F.concat(part(row["bytes"], p["after"], p["start"]), F.lit(mask)))
+        return F.concat(F.array_join(parts, ""), part(row["bytes"], F.element_at(from_, -1)))
+
+    return F.when(F.size(spans) > 0, F.element_at(F.transform(F.array(wide), replaced), 1)).otherwise(text)
 
 
 def mask_secrets(

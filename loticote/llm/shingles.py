@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from loticote.llm import exchange
 from loticote.llm.common import runs, sub_batches, utf8
-from loticote.llm.hashing import Pieces, mix
+from loticote.llm.hashing import digests, mix
 from loticote.llm.repeats import pack_texts, parts, text_lists
 from loticote.session import materialize
 
@@ -49,7 +49,7 @@ def shingle_sets(data: np.ndarray, borders: np.ndarray, words: int) -> tuple[np.
         begins[1:] &= ~(inside[:-1] & follows[1:])
         ends[:-1] &= ~(inside[1:] & follows[1:])
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    hashes = Pieces(data)(start, end)
+    hashes = digests(data, start, end)
     of = np.searchsorted(borders, start, "right") - 1
     counts = np.bincount(of, minlength=len(borders) - 1) if len(of) else np.zeros(len(borders) - 1, np.int64)
     word_borders = np.concatenate(([0], np.cumsum(counts)))
@@ -449,7 +449,8 @@ def similar_documents(
     """
     rows = df.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-    ).withColumn("block", exchange.block_of())
+    )
+    rows = rows.withColumn("block", exchange.block_of(rows))
     bits = exchange.bucket_bits(rows)
     asked = rows.select("block", "text").mapInArrow(ask(words, bits), BUCKETED)
     answers = asked.groupBy("bucket").applyInArrow(answer_shared, ANSWERED)

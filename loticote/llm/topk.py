@@ -41,16 +41,22 @@ def by_dim(frame: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
         yield int(dim), rows
 
 
-def pivot_sample(points: DataFrame, size: int) -> dict[int, np.ndarray]:
-    """At most ``size`` points of each vector length in the order of a hash; a bounded collection."""
+def pivot_sample(points: DataFrame, size: int, lengths: int) -> dict[int, np.ndarray]:
+    """At most ``size`` points of each of the ``lengths`` most frequent vector lengths, in the order of a hash."""
+    common = points.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dim").limit(lengths)
     order = Window.partitionBy("dim").orderBy(F.xxhash64("v"), "v")
     picked = points.select("dim", "v").withColumn("r", F.row_number().over(order)).where(F.col("r") <= size)
     found: dict[int, list] = {}
-    for row in picked.orderBy("dim", "r").limit(size * 64).collect():
+    for row in picked.join(common.select("dim"), "dim").orderBy("dim", "r").collect():
         found.setdefault(row.dim, []).append(row.v)
     return {d: np.array(v, np.float64).reshape(len(v), d) for d, v in found.items()}
 
 
+def pivots_of(pivots: dict[int, np.ndarray], dim: int) -> np.ndarray:
+    """The pivots of a vector length; a length without a sample has the origin alone."""
+    return pivots[dim] if dim in pivots else np.zeros((1, dim))
+
+
 def with_cells(rows: DataFrame, pivots: dict[int, np.ndarray], sample: dict[int, np.ndarray], k: int) -> DataFrame:
     """Adds the nearest pivot, the distance to it, the length, and a score that the k-th best exceeds or equals.
 
@@ -69,10 +75,8 @@ def with_cells(rows: DataFrame, pivots: dict[int, np.ndarray], sample: dict[int,
             cell, far, norm, low = (np.zeros(len(frame)) for _ in range(4))
             for dim, rows in by_dim(frame):
                 low[rows] = -np.inf
-                if dim not in pivots:
-                    continue
                 x = np.array(frame["v"].iloc[rows].tolist(), np.float64).reshape(len(rows), dim)
-                p, s = pivots[dim], sample[dim]
+                p, s = pivots_of(pivots, dim), sample.get(dim, np.zeros((0, dim)))
                 square = (x * x).sum(1)
                 apart = np.maximum(square[:, None] - 2 * x @ p.T + (p * p).sum(1)[None], 0)
                 cell[rows] = apart.argmin(1)
@@ -120,6 +124,7 @@ def voronoi_topk(
     scale: int = 256,
     pivots: int = 32,
     sample: int = 512,
+    sampled_lengths: int = 64,
     block_queries: int = 512,
     chunk_points: int = 4_096,
 ) -> DataFrame:
@@ -128,7 +133,9 @@ def voronoi_topk(
     Components become floor(scale * x); the score is their integer inner product. Queries are the rows
     whose id is divisible by ``query_every``. Rows without an id or with a NULL, NaN or infinite component
     take no part; vectors of different lengths have no product and are never compared; rows that repeat
-    an id and vector count once. An empty table gives no rows.
+    an id and vector count once. An empty table gives no rows. Pivots and bounds come from ``sample`` points of
+    each of the ``sampled_lengths`` most frequent vector lengths; all other lengths are searched as exactly, with
+    the origin as their pivot and no lower bound.
 
     1. Equal vectors are folded into one point that keeps its k + 1 smallest ids (more can never be
        needed), so a vector with very many copies leaves a handful of rows per task.
@@ -147,7 +154,7 @@ def voronoi_topk(
     points = materialize(folded.withColumn("dim", F.size("v")), "topk-points")
     queries = base.where(F.col("id") % query_every == 0).withColumnRenamed("id", "qid")
 
-    anchors = pivot_sample(points, sample)
+    anchors = pivot_sample(points, sample, sampled_lengths)
     chosen = {d: v[:pivots] for d, v in anchors.items()}
     # k + 1 because one of the best can be the query itself.
     points = materialize(with_cells(points, chosen, anchors, k + 1), "topk-cells")
@@ -174,7 +181,8 @@ def voronoi_topk(
             for dim, rows in by_dim(frame):
                 centre = np.array([int(b.split("-")[1]) for b in frame["block"].iloc[rows]])
                 x = np.array(frame["v"].iloc[rows].tolist(), np.float64).reshape(len(rows), dim)
-                far[rows] = np.sqrt(((x - chosen[dim][centre]) ** 2).sum(1)) if dim in chosen else 0
+                centres = pivots_of(chosen, dim)
+                far[rows] = np.sqrt(((x - centres[np.minimum(centre, len(centres) - 1)]) ** 2).sum(1))
             yield frame.assign(far=far)[["qid", "v", "dim", "block", "far", "floor"]]
 
     queries = materialize(
@@ -189,7 +197,8 @@ def voronoi_topk(
         for frame in frames:
             keep = np.ones(len(frame), bool)
             for i, r in enumerate(frame.itertuples()):
-                c, p = chosen[r.dim][int(r.block.split("-")[1])], chosen[r.dim][r.cell]
+                centres = pivots_of(chosen, r.dim)
+                c, p = centres[min(int(r.block.split("-")[1]), len(centres) - 1)], centres[r.cell]
                 top = c @ p + np.linalg.norm(c) * r.radius + r.wide * (np.linalg.norm(p) + r.radius)
                 keep[i] = top * (1 + 1e-9) + 1e-6 >= r.least if top >= 0 else top * (1 - 1e-9) + 1e-6 >= r.least
             yield frame[keep]
@@ -204,7 +213,9 @@ def voronoi_topk(
             for dim, rows in by_dim(frame):
                 x = np.array(frame["v"].iloc[rows].tolist(), np.float64).reshape(len(rows), dim)
                 centre = np.array([int(b.split("-")[1]) for b in frame["block"].iloc[rows]])
-                top = (x * chosen[dim][centre]).sum(1) + (frame["wide"] * frame["norm"]).to_numpy()[rows]
+                centres = pivots_of(chosen, dim)
+                centre = np.minimum(centre, len(centres) - 1)
+                top = (x * centres[centre]).sum(1) + (frame["wide"] * frame["norm"]).to_numpy()[rows]
                 keep[rows] = top + np.abs(top) * 1e-9 + 1e-6 >= frame["least"].to_numpy()[rows]
             yield frame.loc[keep, ["block", "cell", "chunk", "pid", "v"]]
 

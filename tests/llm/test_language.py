@@ -68,3 +68,24 @@ def test_awkward_rows(spark):
 def test_no_labels_and_empty_table(spark):
     assert {r.lang_pred for r in language.detect_language(frame(spark, [(1, "abc", None, None, None, None, None)])).collect()} == {"und"}
     assert language.detect_language(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_every_label_is_learned(spark):
+    """Copies of one row do not use up the places of another label."""
+    german = "Der schnelle Fuchs springt über den faulen Hund und läuft dann nach Hause."
+    rows = [(0, german, "de", None, None, None, None)] * 700
+    french = ["le", "la", "maison", "est", "grande", "où", "été", "chat", "dans", "jardin", "avec", "être"]
+    rng = np.random.default_rng(3)
+    for i in range(300):
+        rows.append((4000 + i, " ".join(rng.choice(french, 12)), "fr", None, None, None, None))
+    got = language.detect_language(frame(spark, rows)).collect()
+    assert len(got) == 1000
+    assert {r.lang_pred for r in got if r.doc_id == 0} == {"de"}
+    assert sum(r.lang_pred == "fr" for r in got if r.doc_id >= 4000) >= 295
+
+
+def test_labels_beyond_the_bound(spark):
+    rows = [(4 * i, f"word{i % 7} text{i % 7} more{i % 7}", f"l{i % 7}", None, None, None, None) for i in range(200)]
+    rows += [(10_000 + i, "other words of a rare label", "rare", None, None, None, None) for i in range(3)]
+    got = language.detect_language(frame(spark, rows), max_labels=7).collect()
+    assert {r.lang_pred for r in got} <= {f"l{i}" for i in range(7)} and len(got) == len(rows)

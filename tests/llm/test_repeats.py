@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from helpers import SCHEMA, awkward, frame
 
+from loticote.llm import exchange
 from loticote.llm.repeats import remove_repeats
 
 
@@ -69,3 +70,14 @@ def test_given_documents(spark):
     got = remove_repeats(docs).collect()
     have = sorted((repr(r.doc_id), r.n_bytes, tuple((s.start, s.end) for s in r.spans), bytes(r.kept)) for r in got)
     assert have == brute(rows, 200)
+
+
+def test_hot_ids_and_no_ids(spark, monkeypatch):
+    monkeypatch.setattr(exchange.block_of, "__defaults__", ("doc_id", "text", 16, 300))
+    rng = random.Random(21)
+    passages = ["".join(rng.choice("abcd ") for _ in range(70)) for _ in range(12)]
+    rows = []
+    for i in range(240):
+        parts = [rng.choice(passages) if rng.random() < 0.4 else str(rng.random()) for _ in range(rng.randint(1, 9))]
+        rows.append(((None, 5, 100 + i)[i % 3], "".join(parts), None, None, None, None, None))
+    assert result(spark, rows, 32) == brute(rows, 32)

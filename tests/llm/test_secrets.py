@@ -1,10 +1,14 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
 from helpers import SCHEMA, awkward, frame
+from pyspark.sql import functions as F
 
 from loticote.llm import secrets
+from loticote.llm.secrets import SPAN, mask_secrets, masked, running, scan
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
@@ -88,3 +92,47 @@ def test_null_columns(spark, column):
     place = SCHEMA.split(", ").index(next(c for c in SCHEMA.split(", ") if c.startswith(column + " ")))
     rows = [tuple(None if j == place else v for j, v in enumerate(r)) for r in documents()]
     assert secrets.scan(frame(spark, rows)).count() == len(rows)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 64, 1000])
+def test_running(spark, n):
+    rng = random.Random(n)
+    xs = [rng.randint(0, 50) for _ in range(n)]
+    df = spark.createDataFrame([(xs,)], "xs array<int>")
+    sums, tops = df.select(running(F.col("xs"), lambda a, b: a + b), running(F.col("xs"), F.greatest)).first()
+    assert sums == [sum(xs[: i + 1]) for i in range(n)] and tops == [max(xs[: i + 1]) for i in range(n)]
+
+
+def test_very_many_matches(spark):
+    """40 000 assignments in one text of 800 000 characters, with long runs between and after them."""
+    part = "tokén é password = hunter%05d\n"
+    text = "".join(part % i for i in range(40_000)) + "Zz9" * 10 + " end"
+    start = time.monotonic()
+    table = frame(spark, [(1, text, None, "s", 0, None, None)])
+    got = scan(table).first()
+    assert got.n_assign == 40_000
+    size = len(part % 0)
+    assert [(s.start, s.end) for s in got.spans[:3]] == [(8 + size * i, 8 + size * i + 22) for i in range(3)]
+    masked_text = mask_secrets(table).first().text
+    assert masked_text.count("[SECRET]") == 40_000 + sum(s.kind == 3 for s in got.spans)
+    assert masked_text.startswith("tokén é [SECRET]\ntokén é [SECRET]\n") and masked_text.endswith(" end")
+    assert time.monotonic() - start < 90
+
+
+def test_masking_keeps_all_other_characters(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(200):
+        text = "".join(rng.choice("aé🙂日 \n") for _ in range(rng.randint(1, 80)))
+        marks = sorted(rng.sample(range(len(text) + 1), min(len(text) + 1, 6)))
+        spans = [(a, 0, min(len(text), a + rng.randint(1, 9)), "") for a in marks[:-1]]
+        rows.append((i, text, [s for s in spans if s[2] > s[0]]))
+    df = spark.createDataFrame(rows, f"i int, text string, spans {SPAN}")
+    got = dict(df.select("i", masked(F.col("text"), F.col("spans"), "#")).collect())
+    for i, text, spans in rows:
+        out, place = "", 0
+        for a, _, b, _ in spans:
+            if a >= place:
+                out += text[place:a] + "#"
+            place = max(place, b)
+        assert got[i] == out + text[place:], (text, spans)

@@ -3,7 +3,9 @@ import re
 
 import pytest
 from helpers import SCHEMA, awkward, frame
+from pyspark.sql import functions as F
 
+from loticote.llm import exchange
 from loticote.llm.shingles import keep_one, similar_documents
 
 
@@ -85,3 +87,52 @@ def test_one_row_of_each_group(spark):
 
 def test_empty_table(spark):
     assert similar_documents(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+def test_long_periodic_words_stay_apart(spark):
+    word = thue_morse(2048)
+    rows = [(1, word, *[None] * 5), (2, word.translate(str.maketrans("ab", "ba")), *[None] * 5)]
+    assert {r.component_id for r in similar_documents(frame(spark, rows)).collect()} == {1, 2}
+
+
+def hot_rows():
+    """A third of all rows without an id, a third under one id, some long texts."""
+    rng = random.Random(12)
+    base = [" ".join(rng.choice("abcdefghij") * rng.randint(1, 4) for _ in range(60)) for _ in range(40)]
+    rows = []
+    for i in range(900):
+        words = rng.choice(base).split()
+        for _ in range(rng.choice([0, 0, 1, 30])):
+            words[rng.randrange(len(words))] = f"w{rng.randint(0, 10**9)}"
+        rows.append(((None, 77, 1000 + i)[i % 3], " ".join(words), *[None] * 5))
+    return rows
+
+
+def test_hot_ids_and_no_ids(spark, monkeypatch):
+    rows = hot_rows()
+    monkeypatch.setattr(exchange, "BLOCK_IDS", 64)
+    monkeypatch.setattr(exchange.block_of, "__defaults__", ("doc_id", "text", 64, 2000))
+    got = similar_documents(frame(spark, rows)).collect()
+    assert sorted((repr(r.doc_id), r.n_shingles, repr(r.component_id)) for r in got) == brute(rows)
+    kept = keep_one(frame(spark, rows)).collect()
+    assert {repr(r.doc_id) for r in kept} - {"None"} == {i for _, _, i in brute(rows)} - {"None"}
+
+
+@pytest.mark.parametrize("hot_ids", [1000, 0])
+def test_blocks_are_bounded(spark, monkeypatch, hot_ids):
+    monkeypatch.setattr(exchange, "HOT_IDS", hot_ids)
+    rows = [((None, 77, i)[i % 3], f"text {i} " * 20) for i in range(6000)] + [(i, f"long {i} " * 500) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    block = exchange.block_of(df, ids=64, long_text=4000)
+    sizes = df.groupBy(block.alias("b")).agg(F.sum(F.octet_length("text")).alias("n"), F.count("*").alias("rows")).collect()
+    assert max(r.n for r in sizes) <= 64 * 4000 and max(r.rows for r in sizes) <= 3 * 64
+    # The same row is in the same block, whoever reads it and in whatever order.
+    again = df.orderBy(F.rand(3)).select(F.struct("doc_id", "text").alias("r"), block.alias("b")).distinct()
+    assert again.count() == len(rows)

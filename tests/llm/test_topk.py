@@ -51,3 +51,14 @@ def test_large_values_stay_exact(spark):
 
 def test_empty_table(spark):
     assert voronoi_topk(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_more_vector_lengths_than_are_sampled(spark):
+    rng = random.Random(9)
+    rows = []
+    for dim in range(1, 71):
+        for j in range(3):
+            rows.append((len(rows) * 25, [rng.uniform(-1, 1) for _ in range(dim)], 0, None, None))
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = voronoi_topk(df, sample=2, sampled_lengths=5)
+    assert sorted(map(tuple, got.collect())) == sorted(brute(rows))
