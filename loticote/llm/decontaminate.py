@@ -197,31 +197,55 @@ class Patterns:
         return edits, starts, ends
 
     def align_equal(self, data, window, diagonal):
+        """Windows of one size and budget, all at once; places and windows along the second axis.
+
+        Cell (d, w) at step i is byte i of the window against place low + i + d. It holds edits * one + start,
+        counted from low. Windows without a cell inside of the budget are left out from then on.
+        """
         size, budget = int(self.sizes[window[0]]), int(self.budget[window[0]])
         wide = 2 * (budget + 1) + 2 * budget
         low = diagonal - budget  # first diagonal of each band
-        text = self.body[self.starts[window][:, None] + np.arange(size)]
-        diagonals = np.arange(wide)
-        one = np.int64(1) << 40
-        far = one << 14
-        # Cell (i, d) is pattern i against place low + i + d; it holds edits * one + start, counted from low.
-        cells = np.broadcast_to(diagonals, (len(window), wide)).astype(np.int64)
-        place = low[:, None] + diagonals
-        cells = np.where((place >= 0) & (place <= len(data)), cells, far)
-        for i in range(size):
-            at = place + i
-            inside = (at >= 0) & (at < len(data))
-            here = data[np.clip(at, 0, len(data) - 1)]
-            here = np.where(inside, here, 0)
-            change = np.where((here == text[:, i][:, None]) & inside, 0, one) + np.where(inside & (here != 0), 0, far)
-            best = cells + change
-            best[:, :-1] = np.minimum(best[:, :-1], cells[:, 1:] + one)  # an item byte is missing in the text
-            # Further bytes in the text, not over the zero byte at its end.
-            passed = np.cumsum(np.where(here != 0, one, far), axis=1)
-            cells = np.minimum.accumulate(best - passed, axis=1) + passed
-        best = cells.argmin(axis=1)
-        value = cells[np.arange(len(window)), best]
-        return value // one, low + value % one, low + size + best
+        one = 1 << max(8, wide.bit_length())
+        far = one * (size + wide + 2)
+        kind = np.int32 if 2 * far * (size + wide) < 1 << 31 else np.int64
+        left, right = max(0, -int(low.min())), max(0, int(low.max()) + size + wide - len(data))
+        # Beyond the data there are zeros as between the texts; no item has one.
+        padded = np.concatenate((np.zeros(left, np.uint8), data, np.zeros(right, np.uint8)))
+        around = np.lib.stride_tricks.sliding_window_view(padded, size + wide)[low + left]
+        bordering = (around == 0).any(axis=1)
+        value = np.full(len(window), far, np.int64)
+        last = np.zeros(len(window), np.int64)
+        for rows, borders in ((np.flatnonzero(~bordering), False), (np.flatnonzero(bordering), True)):
+            if not len(rows):
+                continue
+            here_of = np.ascontiguousarray(around[rows].T)
+            text = np.ascontiguousarray(self.body[self.starts[window[rows]][:, None] + np.arange(size)].T)
+            place = low[rows][None] + np.arange(wide)[:, None]
+            start = np.broadcast_to(np.arange(wide, dtype=kind)[:, None], place.shape)
+            cells = np.where((place >= 0) & (place <= len(data)), start, kind(far))
+            passed = (np.arange(1, wide + 1) * one).astype(kind)[:, None]
+            for i in range(size):
+                here = here_of[i : i + wide]
+                best = cells + (here != text[i]).astype(kind) * kind(one)
+                if borders:
+                    outside = here == 0
+                    best += outside.astype(kind) * kind(far)
+                    passed = np.cumsum(np.where(outside, kind(far), kind(one)), axis=0, dtype=kind)
+                # An item byte is missing in the text, or the text has further bytes, though no border.
+                np.minimum(best[:-1], cells[1:] + kind(one), out=best[:-1])
+                best -= passed
+                np.minimum.accumulate(best, axis=0, out=best)
+                cells = best + passed
+                if i % 16 == 15:
+                    able = cells.min(axis=0) < (budget + 1) * one
+                    if 4 * np.count_nonzero(able) < 3 * len(able):
+                        rows, here_of, text, cells = rows[able], here_of[:, able], text[:, able], cells[:, able]
+                        if not len(rows):
+                            break
+            if len(rows):
+                best = cells.argmin(axis=0)
+                value[rows], last[rows] = cells[best, np.arange(len(rows))], best
+        return value // one, low + value % one, low + size + last
 
     def find(self, data: np.ndarray, borders: np.ndarray):
         """(text, window, edits, start, end) of every window that occurs; places are bytes of the texts."""
