@@ -272,7 +272,7 @@ def detect_language(
     rounds: int = 25,
     switch: float = 0.15,
     strength: float = 0.02,
-    batch_bytes: int = 8 << 20,
+    batch_bytes: int = 1 << 20,
     memory_words: int = 300_000,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
