@@ -292,7 +292,7 @@ def find_leaks(
     window: int = 120,
     stride: int = 60,
     block_bytes: int = 4 << 20,
-    batch_bytes: int = 4 << 20,
+    batch_bytes: int = 2 << 20,
     passage: int = 68,
     step: int = 4,
 ) -> DataFrame:
@@ -353,7 +353,7 @@ def drop_leaks(
     window: int = 120,
     stride: int = 60,
     block_bytes: int = 4 << 20,
-    batch_bytes: int = 4 << 20,
+    batch_bytes: int = 2 << 20,
     passage: int = 68,
     step: int = 4,
 ) -> DataFrame:
