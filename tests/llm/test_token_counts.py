@@ -1,6 +1,7 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import SCHEMA, awkward, frame
 from tokenizers import Tokenizer
@@ -40,3 +41,12 @@ def test_splices(tokenizer, seed):
 
 def test_empty_table(spark):
     assert count_tokens(spark.createDataFrame([], SCHEMA), PATH).count() == 0
+
+
+def test_chunks_of_many_texts_at_once(tokenizer):
+    rng = random.Random(7)
+    words = ["la", "maison", "Über", "été", "42", "x" * 90, "a.b", "東京", "\u0085", "-"]
+    texts = [" ".join(rng.choice(words) for _ in range(n)) + "\n" * (n % 3) for n in (0, 1, 5, 80, 300, 900, 40)]
+    counter = OverlapCounter(tokenizer, 200, 40, memory_words=8)
+    for _ in range(2):
+        assert counter.counts(pa.array(texts)).tolist() == [plain(tokenizer, t) for t in texts]
