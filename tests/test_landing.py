@@ -102,3 +102,59 @@ def test_landed_sources_are_cleaned_like_files(spark, tmp_path):
     titles = [r.titre for r in batch.read_valid(spark, str(tmp_path / "two")).collect()]
     assert any("\n" in t for t in titles)
     assert spark.read.parquet(str(landing / "immoask")).where(F.col("Titre").contains("\n")).count() == 2
+
+
+class Tasks(Jobs):
+    """Counts the tasks as well."""
+
+    def count(self):
+        status = self.context.statusTracker()
+        jobs = [status.getJobInfo(j) for j in status.getJobIdsForGroup(self.name)]
+        stages = {s for job in jobs for s in job.stageIds}
+        return sum(info.numTasks for info in map(status.getStageInfo, stages) if info)
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    orders = {"a": ["Titre", "Prix"], "b": ["Prix", "Titre"]}
+    want = []
+    for name, columns in orders.items():
+        (tmp_path / name).mkdir()
+        for i in range(300):
+            row = {"Titre": f"{name}{i}", "Prix": str(i)}
+            write(tmp_path / name / f"{i}.csv", columns, [[row[c] for c in columns]])
+            want.append((row["Titre"], row["Prix"]))
+    paths = [str(tmp_path / name) for name in orders]
+    with Tasks(spark) as tasks:
+        groups = readers.files_by_header(spark, paths)
+        assert tasks.count() < 150
+    assert [(fields, len(files)) for fields, files in groups] == [(sorted(orders["b"]), 300), (orders["a"], 300)]
+    df = readers.read_csv_text(spark, paths, multiline=False)
+    assert sorted(map(tuple, df.select("Titre", "Prix").collect())) == sorted(want)
+
+
+@pytest.mark.parametrize("size", [0, 1 << 20])
+@pytest.mark.parametrize(
+    "head, fields",
+    [
+        ('a"b,"x\ny"\n1,2\n', ['a"b', "x\ny"]),
+        ('\r\n\r\n"a ""q"", b"c"d,e\r\n"1\n', ['a "q", bc"d', "e"]),
+        ('"never closed,\nb\n1', ["never closed,\nb\n1\n"]),
+        (",\n1,2\n", ["", ""]),
+        ("x", ["x"]),
+        ("\n\n", None),
+    ],
+)
+def test_headers_of_small_and_large_files(spark, tmp_path, monkeypatch, size, head, fields):
+    monkeypatch.setattr(readers, "SMALL_FILE", size)
+    (tmp_path / "x.csv").write_bytes(head.encode())
+    got = readers.files_by_header(spark, str(tmp_path))
+    assert [f for f, _ in got] == ([] if fields is None else [fields])
+
+
+def test_a_folder_stands_for_its_files_only_where_it_was_asked_for():
+    a, b = [f"file:///r/a/{i}.csv" for i in range(3)], ["file:///r/b/0.csv", "file:///r/b/c/1.csv"]
+    assert readers.places(a, b, ["/r/a", "/r/b/"]) == ["file:///r/a"]
+    assert readers.places(b, a, ["/r/a", "/r/b/"]) == ["file:///r/b"]
+    assert readers.places(a, b, "/r") == a
+    assert readers.places(a[:2], [a[2], *b], ["/r/a", "/r/b"]) == a[:2]
+    assert readers.places(a[:1], b[:1], ["/r/a/0.csv", "/r/b/0.csv"]) == a[:1]
