@@ -3,14 +3,15 @@
 Model: the last three, four and five bytes each predict the bits of the next byte from the counts of all training
 texts after the same bytes. A gate, the longest of these contexts that training knows, and the place of the bit
 select the weights that combine the predictions in the logistic domain. The weights start from values fitted to
-training texts whose own counts are taken out, and each text refines its own ones after every SPAN bytes, from its
+all training texts, each byte without its own counts, and each text refines its own ones after every SPAN bytes, from its
 first byte to its last. A text ends with the byte 255, which UTF-8 never holds, so probabilities of all texts
 sum to at most one.
 
-Counts stay distributed and grow with the corpus. Each block of documents sends its distinct pairs of context and
-byte with their training counts, by bucket of the context's hash; the hash is a bijection, so different contexts
-never share counts. A bucket adds up the blocks' counts and answers every pair with the eight predictions on
-the way to its byte.
+Counts stay distributed and grow with the corpus. Each block of documents sends its distinct grams, a byte after
+its longest context, with their training counts, by bucket of the shortest context: a bucket meets all grams with
+the same shorter contexts. It adds up the blocks' counts and answers every pair of context and byte with the
+eight predictions on the way to its byte. As it knows all predictions of its grams, it also counts what the fit needs:
+how often training has the same predictions, gate and place of the bit. The fit adds up its steps over these counts.
 """
 
 from __future__ import annotations
@@ -46,8 +47,10 @@ LONG_TEXT = 64 << 10
 HELD_GRAMS = 3 << 20
 SIDE_BY_SIDE = 192
 FIT_BLOCK = -(1 << 62) - 1
-FIT_TEXTS = 1024
 FIT_STEPS = 12
+FIT_SLICES = 64
+FIT_CLOSE = 1e-6
+RIDGE = 20.0
 
 
 def framed(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -173,11 +176,25 @@ class Pairs:
                 total += np.bincount(of, of_grams, len(total)).astype(np.int64)
         return total[self.order]
 
-    def rows(self, odds: np.ndarray) -> np.ndarray:
-        """(grams, contexts, 8) from the answers in the order of the keys."""
-        plain_order = np.empty_like(odds)
-        plain_order[self.order] = odds
-        return np.stack([plain_order[of] for of in self.of], 1)
+    def by_pair(self, odds: np.ndarray) -> np.ndarray:
+        """What is in the order of the keys, as ``of`` counts the pairs."""
+        out = np.empty_like(odds)
+        out[self.order] = odds
+        return out
+
+    def rows(self, odds: np.ndarray, some: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """(grams, contexts, 8) of some grams from what is in the order of the keys."""
+        odds = self.by_pair(odds)
+        return np.stack([odds[of[some]] for of in self.of], 1)
+
+
+def gram_buckets(grams: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of sorted grams by bucket, and their buckets in this order."""
+    least = min(ORDERS)
+    context = (grams >> np.uint64(8 * (GRAM - 1 - least))) & np.uint64((1 << (8 * least)) - 1)
+    bucket = (mix(context) >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return order, bucket[order].astype(np.int64)
 
 
 def by_length(docs: pa.Table) -> pa.Table:
@@ -214,13 +231,12 @@ def words(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, cuts + np.arange(len(cuts))
 
 
-def by_bucket(keys: np.ndarray, bits: int) -> dict[int, slice]:
-    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
+def slices_of(bucket: np.ndarray) -> dict[int, slice]:
     used, first = np.unique(bucket, return_index=True)
-    return dict(zip(used.tolist(), map(slice, first.tolist(), [*first[1:].tolist(), len(keys)])))
+    return dict(zip(used.tolist(), map(slice, first.tolist(), [*first[1:].tolist(), len(bucket)])))
 
 
-ASKED = "bucket int, block long, words binary, word_counts binary, keys binary, key_counts binary"
+ASKED = "bucket int, bits int, block long, words binary, word_counts binary, grams binary, gram_counts binary"
 
 
 class Asked:
@@ -244,25 +260,27 @@ class Asked:
     def messages(self, block: int | None, bits: int) -> pa.RecordBatch:
         found, times = merged(*self.words)
         grams, gram_times = merged(*self.grams)
-        pairs = Pairs(grams)
-        pair_times = pairs.counts(gram_times)
-        word_slices, pair_slices = by_bucket(found, bits), by_bucket(pairs.keys, bits)
-        used = sorted(word_slices.keys() | pair_slices.keys())
+        order, bucket = gram_buckets(grams, bits)
+        grams, gram_times = grams[order], gram_times[order]
+        word_slices, gram_slices = slices_of((found >> np.uint64(64 - bits)).astype(np.int64)), slices_of(bucket)
+        used = sorted(word_slices.keys() | gram_slices.keys())
         none = slice(0, 0)
         cut = lambda x, slices: pa.array([packed(x[slices.get(b, none)]) for b in used], pa.binary())
         columns = [
             pa.array(used, pa.int32()),
+            pa.array([bits] * len(used), pa.int32()),
             pa.array([block] * len(used), pa.int64()),
             cut(found, word_slices),
             cut(times.astype(np.uint32), word_slices),
-            cut(pairs.keys, pair_slices),
-            cut(pair_times.astype(np.uint32), pair_slices),
+            cut(grams, gram_slices),
+            cut(gram_times.astype(np.uint32), gram_slices),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "words", "word_counts", "keys", "key_counts"])
+        names = ["bucket", "bits", "block", "words", "word_counts", "grams", "gram_counts"]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def asker(bits: int, batch_bytes: int):
-    """Each block's distinct words and pairs of context and byte, with their training counts, by bucket."""
+    """Each block's distinct words and grams, with their training counts, by bucket."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, Asked] = {}
@@ -317,29 +335,94 @@ def log_odds(same: np.ndarray, every: np.ndarray) -> np.ndarray:
     return out
 
 
-ANSWERED = "bucket int, block long, words binary, word_counts binary, odds binary"
+def fit_counts(odds: np.ndarray, byte: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often training has each gate, place of the bit, predictions and bit: distinct codes and their counts.
+
+    ``odds`` are those of grams without their own counts: (grams, contexts, 8).
+    """
+    known = odds[:, :, 0] != UNKNOWN
+    odds = odds.copy()
+    odds[:, :, 0] *= known
+    code = known.sum(1)[:, None] << 3 | np.arange(8)
+    for k in range(CONTEXTS):
+        code = code << 8 | odds[:, k].view(np.uint8)
+    return merged([(code << 1 | bits_of(byte)).ravel().astype(np.uint64)], [np.repeat(times, 8)])
+
+
+def fit_inputs(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gate and place of the bit as one number, and (INPUTS, codes): the predictions and the constant."""
+    code = code.astype(np.int64)
+    shifts = 1 + 8 * np.arange(CONTEXTS)[::-1, None]
+    odds = (code >> shifts & 255).astype(np.uint8).view(np.int8)
+    return code >> (1 + 8 * CONTEXTS), np.concatenate([odds / UNIT, ((code & 1) * 2.0 - 1)[None]])
+
+
+def fit_terms(code: np.ndarray, times: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """(gate and place, INPUTS + INPUTS ** 2): slope and curvature of the log likelihood of some codes."""
+    out = np.zeros(((CONTEXTS + 1) * 8, INPUTS + INPUTS**2))
+    group, x = fit_inputs(code)
+    w = weights.transpose(0, 2, 1).reshape(-1, INPUTS)
+    borders = np.searchsorted(group, np.arange(len(out) + 1))  # codes are sorted
+    for g, (first, last) in enumerate(zip(borders[:-1], borders[1:])):
+        mine, n = x[:, first:last], times[first:last]
+        missed = 1 / (1 + np.exp(np.clip(w[g] @ mine, -30, 30)))
+        out[g, :INPUTS] = mine @ (n * missed)
+        out[g, INPUTS:] = ((mine * (n * missed * (1 - missed))) @ mine.T).ravel()
+    return out
+
+
+def stepped(weights: np.ndarray, terms: np.ndarray, ridge: float) -> np.ndarray:
+    """The weights after one Newton step of ridge logistic regression, by gate and place of the bit."""
+    start, out = first_weights(), weights.copy()
+    for g, row in enumerate(terms):
+        gate, bit = divmod(g, 8)
+        slope = row[:INPUTS] - ridge * (weights[gate, :, bit] - start[gate, :, bit])
+        bend = row[INPUTS:].reshape(INPUTS, INPUTS) + ridge * np.eye(INPUTS)
+        out[gate, :, bit] += np.clip(np.linalg.solve(bend, slope), -0.5, 0.5)
+    return out
+
+
+ANSWERED = (
+    "bucket int, bits int, block long, words binary, word_counts binary, odds array<binary>, "
+    "codes binary, code_counts binary"
+)
 
 
 def answer(table: pa.Table) -> pa.Table:
     """For one bucket: to every block its words that occur in training, with their counts over the corpus, and the
-    predictions of its pairs in their order; one row without a block holds the number of distinct
-    training words and of all. To the block of the fit each pair is answered without one of its own."""
+    predictions of its pairs of context and byte, by length of the context in the order of its grams; one row without a
+    block holds the number of distinct training words and of all, and what training has for the
+    fit. To the block of a fit to chosen texts each pair is answered without one of its own."""
     distinct, totals, words_of = summed(table, "words", "word_counts")
-    keys, key_totals, pairs_of = summed(table, "keys", "key_counts")
-    same, every = path_counts(keys, key_totals)
-    odds = log_odds(same, every)
-    rows = [(None, b"", np.array([np.count_nonzero(totals), totals.sum()], np.int64).tobytes(), b"")]
+    grams, gram_totals, grams_of = summed(table, "grams", "gram_counts")
+    pairs = Pairs(grams)
+    same, every = path_counts(pairs.keys, pairs.counts(gram_totals))
+    odds = pairs.by_pair(log_odds(same, every))
+    # A pair that training does not know is in no gram that the fit counts.
+    without = log_odds(np.maximum(same - 1, 0), np.maximum(every - 1, 0))
+    trained = np.flatnonzero(gram_totals)
+    byte = (grams[trained] >> np.uint64(8 * (GRAM - 1))).astype(np.uint8)
+    codes, code_counts = fit_counts(pairs.rows(without, trained), byte, gram_totals[trained])
+    without = pairs.by_pair(without)
+    counted = np.array([np.count_nonzero(totals), totals.sum()], np.int64).tobytes()
+    rows = [(None, b"", counted, None, packed(codes.astype(np.uint32)), packed(code_counts))]
     for block, place in words_of.items():
-        place, pairs = place[totals[place] > 0], pairs_of[block]
-        told = odds[pairs] if block != FIT_BLOCK else log_odds(same[pairs] - 1, every[pairs] - 1)
-        rows.append((block, packed(distinct[place]), packed(totals[place]), packed(told)))
+        place, mine = place[totals[place] > 0], grams_of[block]
+        told = []
+        for of in pairs.of:
+            asked = of[mine]
+            told.append(packed((odds if block != FIT_BLOCK else without)[asked[changes(asked)]]))
+        rows.append((block, packed(distinct[place]), packed(totals[place]), told, b"", b""))
     names = list(zip(*rows))
     return pa.table({
         "bucket": pa.array([table.column("bucket")[0].as_py()] * len(rows), pa.int32()),
+        "bits": pa.array([table.column("bits")[0].as_py()] * len(rows), pa.int32()),
         "block": pa.array(names[0], pa.int64()),
         "words": pa.array(names[1], pa.binary()),
         "word_counts": pa.array(names[2], pa.binary()),
-        "odds": pa.array(names[3], pa.binary()),
+        "odds": pa.array(names[3], pa.list_(pa.binary())),
+        "codes": pa.array(names[4], pa.binary()),
+        "code_counts": pa.array(names[5], pa.binary()),
     })
 
 
@@ -355,15 +438,25 @@ class Block:
             grams.append(distinct)
             self.batches.append((batch, distinct, where, borders))
         self.grams = distinct_of(np.concatenate(grams))
-        answers = answers.select(["bucket", "odds"]).sort_by("bucket")
-        odds = np.concatenate([unpacked(x, np.int8) for x in answers.column("odds").to_pylist()]).reshape(-1, 8)
-        odds = Pairs(self.grams).rows(odds)
+        odds = self.told(answers.select(["bucket", "bits", "odds"]).sort_by("bucket"))
         known = odds[:, :, 0] != UNKNOWN
         odds[:, :, 0] *= known
+        self.known = known
         self.gate = known.sum(1)
         self.odds = odds
         self.byte = (self.grams >> np.uint64(8 * (GRAM - 1))).astype(np.uint8)
 
+    def told(self, answers: pa.Table) -> np.ndarray:
+        """(grams, contexts, 8) from the answers in the order of the buckets."""
+        order, _ = gram_buckets(self.grams, answers.column("bits")[0].as_py())
+        out = np.empty((len(order), CONTEXTS, 8), np.int8)
+        answers = answers.column("odds").to_pylist()
+        for k, context in enumerate(ORDERS):
+            odds = np.concatenate([unpacked(told[k], np.int8) for told in answers]).reshape(-1, 8)
+            pair = np.cumsum(changes((self.grams >> np.uint64(8 * (GRAM - 1 - context)))[order])) - 1
+            out[order, k] = odds[pair]
+        return out
+
     def inputs(self, rows: slice) -> np.ndarray:
         """(INPUTS, grams, 8): the predictions and the constant, in favour of the bit that came."""
         odds = self.odds[rows].transpose(1, 0, 2) * np.float32(1 / UNIT)
@@ -376,25 +469,17 @@ def first_weights() -> np.ndarray:
     return out
 
 
-def fit_weights(block: Block, ridge: float = 20.0) -> np.ndarray:
-    """Start weights by gate and place of the bit: ridge logistic regression by Newton steps."""
-    times = np.zeros(len(block.grams))
+def fit_weights(block: Block, ridge: float = RIDGE) -> np.ndarray:
+    """Start weights by gate and place of the bit, from the texts of one block."""
+    times = np.zeros(len(block.grams), np.int64)
     for _, distinct, where, _ in block.batches:
         times[np.searchsorted(block.grams, distinct)] += np.bincount(where, minlength=len(distinct))
-    start = first_weights()
-    out = start.copy()
-    x_all = block.inputs(slice(None)).astype(np.float64)
-    for gate in range(CONTEXTS + 1):
-        mine = np.flatnonzero(block.gate == gate)
-        for bit in range(8):
-            x, n = x_all[:, mine, bit], times[mine]
-            w = out[gate, :, bit]
-            for _ in range(FIT_STEPS):
-                missed = 1 / (1 + np.exp(np.clip(w @ x, -30, 30)))
-                slope = x @ (n * missed) - ridge * (w - start[gate, :, bit])
-                bend = (x * (n * missed * (1 - missed))) @ x.T + ridge * np.eye(INPUTS)
-                w = w + np.clip(np.linalg.solve(bend, slope), -0.5, 0.5)
-            out[gate, :, bit] = w
+    odds = block.odds.copy()
+    odds[:, :, 0][~block.known] = UNKNOWN
+    codes, counts = fit_counts(odds, block.byte, times)
+    out = first_weights()
+    for _ in range(FIT_STEPS):
+        out = stepped(out, fit_terms(codes, counts, out), ridge)
     return out
 
 
@@ -405,6 +490,74 @@ def fitter(batch_bytes: int):
     return fit
 
 
+def merge_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of a task's buckets, equal codes added up, by slice of the codes."""
+    held: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+
+    def sent() -> pa.RecordBatch:
+        codes, counts = merged(*held)
+        part = mix(codes) % np.uint64(FIT_SLICES)
+        mine = [np.flatnonzero(part == i) for i in range(FIT_SLICES)]
+        columns = [
+            pa.array(range(FIT_SLICES), pa.int32()),
+            pa.array([packed(codes[i].astype(np.uint32)) for i in mine], pa.binary()),
+            pa.array([packed(counts[i]) for i in mine], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["slice", "codes", "code_counts"])
+
+    for batch in batches:
+        for codes, counts in zip(batch.column("codes"), batch.column("code_counts")):
+            held[0].append(unpacked(codes.as_py(), np.uint32).astype(np.uint64))
+            held[1].append(unpacked(counts.as_py(), np.int64))
+            if sum(map(len, held[0])) > HELD_GRAMS:
+                yield sent()
+                held = ([], [])
+    yield sent()
+
+
+def merge_slice(table: pa.Table) -> pa.Table:
+    codes = [unpacked(x, np.uint32).astype(np.uint64) for x in table.column("codes").to_pylist()]
+    codes, counts = merged(codes, [unpacked(x, np.int64) for x in table.column("code_counts").to_pylist()])
+    return pa.table({
+        "codes": pa.array([packed(codes.astype(np.uint32))], pa.binary()),
+        "code_counts": pa.array([packed(counts)], pa.binary()),
+    })
+
+
+def term_adder(weights: np.ndarray):
+    """The terms of a step over the counts of a task."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(((CONTEXTS + 1) * 8, INPUTS + INPUTS**2))
+        for batch in batches:
+            for codes, counts in zip(batch.column("codes"), batch.column("code_counts")):
+                total += fit_terms(unpacked(codes.as_py(), np.uint32), unpacked(counts.as_py(), np.int64), weights)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(total.size, dtype=np.int32)), pa.array(total.ravel())], names=["place", "term"]
+        )
+
+    return add
+
+
+def fit_all(answers: DataFrame, ridge: float = RIDGE) -> np.ndarray:
+    """Start weights from all training texts: the counts of all buckets are added up, then every step adds up its terms
+    over them."""
+    counts = answers.where("block is null").select("codes", "code_counts")
+    counts = counts.mapInArrow(merge_codes, "slice int, codes binary, code_counts binary")
+    counts = counts.groupBy("slice").applyInArrow(merge_slice, "codes binary, code_counts binary")
+    counts = materialize(counts, "fit-counts")
+    out = first_weights()
+    for _ in range(FIT_STEPS):
+        terms = counts.mapInArrow(term_adder(out), "place int, term double").groupBy("place").agg(F.sum("term").alias("term"))
+        found = np.zeros((CONTEXTS + 1) * 8 * (INPUTS + INPUTS**2))
+        for row in terms.collect():
+            found[row.place] = row.term
+        before, out = out, stepped(out, found.reshape((CONTEXTS + 1) * 8, -1), ridge)
+        if np.abs(out - before).max() < FIT_CLOSE:
+            break
+    return out
+
+
 def gram_tables(block: Block, weights: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Predictions of each gram, eight to a word, and their mixture under the start weights; the last row is for no byte."""
     n = len(block.grams)
@@ -527,7 +680,7 @@ def score_texts(
     text_col: str = "text",
     rate: float = 0.008,
     batch_bytes: int = 4 << 20,
-    fit_texts: int = FIT_TEXTS,
+    fit_texts: int | None = None,
 ) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte`` of every row.
 
@@ -536,24 +689,31 @@ def score_texts(
     ``score`` is log10 of the probability of the same words and end, as bytes with one space between
     words; ``bits_per_byte`` is the same per such byte. NULL is the empty text: one
     token. NULL ids count as training rows; repeated rows count and are scored each; an empty
-    table gives no rows. Counts of words and contexts cover all training texts and stay distributed; only the
-    start weights are fitted on at most ``fit_texts`` of them, chosen by digest among those below LONG_TEXT bytes.
+    table gives no rows. Counts of words and contexts and the start weights cover all training texts and stay
+    distributed. ``fit_texts`` fits the start weights to at most so many of them instead, chosen by digest among those
+    below LONG_TEXT bytes; zero keeps the constants.
     """
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
     rows = df.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
     rows = rows.withColumn("held_out", held_out).withColumn("block", text_block(rows))
-    fit = fit_rows(rows.where(~F.col("held_out")), fit_texts).withColumn("block", F.lit(FIT_BLOCK).cast("long"))
     bits = exchange.bucket_bits(rows)
-    sent = rows.unionByName(fit).mapInArrow(asker(bits, batch_bytes), ASKED)
+    asking = rows
+    if fit_texts is not None:
+        fit = fit_rows(rows.where(~F.col("held_out")), fit_texts).withColumn("block", F.lit(FIT_BLOCK).cast("long"))
+        asking = rows.unionByName(fit)
+    sent = asking.mapInArrow(asker(bits, batch_bytes), ASKED)
     answers = materialize(sent.groupBy("bucket").applyInArrow(answer, ANSWERED), "context-counts")
     vocabulary = total = 0
     for row in answers.where("block is null").select("word_counts").toLocalIterator():
         distinct, n = np.frombuffer(row.word_counts, np.int64).tolist()
         vocabulary, total = vocabulary + distinct, total + n
-    fitted = answers.where(F.col("block") == FIT_BLOCK).groupBy("block")
-    fitted = fit.groupBy("block").cogroup(fitted).applyInArrow(fitter(batch_bytes), "weights array<double>").collect()
-    weights = np.array(fitted[0].weights).reshape(first_weights().shape) if fitted else first_weights()
-    grouped = answers.where(F.col("block") != FIT_BLOCK).groupBy("block")
+    if fit_texts is None:
+        weights = fit_all(answers)
+    else:
+        fitted = answers.where(F.col("block") == FIT_BLOCK).groupBy("block")
+        fitted = fit.groupBy("block").cogroup(fitted).applyInArrow(fitter(batch_bytes), "weights array<double>").collect()
+        weights = np.array(fitted[0].weights).reshape(first_weights().shape) if fitted else first_weights()
+    grouped = answers.where(F.col("block") != FIT_BLOCK).drop("codes", "code_counts").groupBy("block")
     return rows.groupBy("block").cogroup(grouped).applyInArrow(scorer(weights, vocabulary, total, rate, batch_bytes), SCHEMA)

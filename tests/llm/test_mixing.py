@@ -146,6 +146,28 @@ def test_start_weights_are_fitted_without_own_counts():
     assert np.abs(slope).max() < 1e-3
 
 
+def test_start_weights_are_fitted_to_all_training_texts(spark, monkeypatch):
+    texts = [*sample_texts(np.random.default_rng(3)), "long text " * 40]
+    monkeypatch.setattr(mixing, "BLOCK_IDS", 4)
+    monkeypatch.setattr(mixing, "LONG_TEXT", 300)
+    fit_all, fitted = mixing.fit_all, []
+    monkeypatch.setattr(mixing, "fit_all", lambda answers: fitted.append(fit_all(answers, ridge=2.0)) or fitted[-1])
+    df = frame(spark, [(i, t, None, None, None, None, None) for i, t in enumerate(texts)])
+    assert mixing.score_texts(df, batch_bytes=300).count() == len(texts)
+    [weights] = fitted
+    chosen = [t for i, t in enumerate(texts) if not is_held(i)]
+    assert len(chosen) < len(texts)
+    counts = plain_counts(chosen)
+    slope = -2.0 * (weights - mixing.first_weights())
+    for text in chosen:
+        data = bytes(8) + b" ".join(text.lower().encode().split()) + b"\xff"
+        for i in range(8, len(data)):
+            gate, inputs = plain_inputs(counts, data, i, own=1)
+            for d, x in enumerate(inputs):
+                slope[gate, :, d] += np.array(x) / (1 + math.exp(weights[gate, :, d] @ x))
+    assert np.abs(slope).max() < 1e-2
+
+
 def test_probabilities_of_all_next_bytes_sum_to_one():
     texts = sample_texts(np.random.default_rng(5))
     tails = [b"the ca" + bytes([b]) for b in range(1, 128) if not mixing.SPACE[b] and not 65 <= b <= 90]
