@@ -106,3 +106,15 @@ def test_many_distinct_values_in_one_cell(spark):
     cells = df.withColumn("_cell", summary.value_cell(F.col("x")))
     sizes = cells.groupBy(summary.value_part(F.col("x"))).count().agg(F.max("count")).first()[0]
     assert sizes < 40_000
+
+
+def test_rows_are_read_once(spark, tmp_path):
+    """The counts of values serve parts and ordered values from one shuffle, so the input is read once."""
+    rows = [(f"g{i % 3}", float(i % 7), float(i)) for i in range(200)] + [(None, 1.0, 1.0), ("g0", None, 2.0)]
+    spark.createDataFrame(rows, "g string, x double, y double").write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    got = grouped_summary(df, ["g"], "x", {"m": 0.5}, {"high": largest("y")}, count="n")
+    assert len(got.collect()) == 3
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+    assert "ReusedExchange" in final
