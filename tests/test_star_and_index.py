@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from loticote.operators import dashboard, index, profiles, quality, star, statistics
+import checks.star_queries  # noqa: F401
+from checks.registry import QUERIES
+from loticote.operators import cleaning, dashboard, index, profiles, quality, star, statistics
 from loticote.sources.schemas import LISTING
 
 ROWS = [
@@ -199,3 +201,29 @@ def test_top_values_limit_every_group(spark):
     )
     got = [(r.source, r.zone, r.rang) for r in profiles.top_values(df, "zone", "source", 2).collect()]
     assert sorted(got) == [("a", "x", 1), ("a", "y", 2), ("b", "q", 1)]
+
+
+def test_refresh_cleans_the_listings_once(spark, tmp_path, monkeypatch):
+    """Loaded listings and stored rejects of a refresh come from the same tagged rows."""
+    tables = {
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(1, "TOGOVILLE", 0)]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int, s_acctbal double", [(1, "s", 1, 50.0)]),
+        "part": (
+            "p_partkey long, p_name string, p_type string, p_size int",
+            [(1, "a", "VILLA", 50), (2, "b", "VILLA", 7), (3, "c", "VILLA", 23)],
+        ),
+        "orders": ("o_orderkey long, o_orderpriority string", [(1, "1-URGENT")]),
+        "lineitem": (
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+            "l_extendedprice double, l_linestatus string",
+            [(1, part, 1, 3, 10.0, 50000.0, "F") for part in (1, 1, 2, 3, 3)],
+        ),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    stored, store = [], cleaning.store_tagged
+    monkeypatch.setattr(cleaning, "store_tagged", lambda *given: stored.append(1) or store(*given))
+    counts = {r.table_name: r.nb_lignes for r in QUERIES["star_refresh"](spark, str(tmp_path)).collect()}
+    assert len(stored) == 1
+    assert counts["annonce"] == counts["bien_immobilier"] == 1
+    assert counts["annonces_rejetees"] == 3
