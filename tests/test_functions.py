@@ -138,3 +138,10 @@ def test_colour(values):
 def test_division_by_zero_is_null(values):
     assert values("double", [0.0], lambda c: numbers.gap_percent(F.lit(5.0), c)) == [None]
     assert values("double", [0.0], lambda c: numbers.index_value(F.lit(5.0), c)) == [None]
+
+
+def test_strip_takes_every_white_space_and_nothing_else(values):
+    bare = ["", "a", "é", "~", "!", "é a", "a　é", "\x7f", "​"]
+    inputs = [f"{left}{x}{right}" for x in bare for left in ["", " ", "　\t"] for right in ["", "\x85", "\x1c "]]
+    expected = [x for x in bare for _ in range(9)]
+    assert values("string", [*inputs, None], text.strip) == [*expected, None]
